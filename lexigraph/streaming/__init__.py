@@ -1,0 +1 @@
+"""Left empty on purpose: the engine's corpus, indexes and queries are batch tables."""
