@@ -1,16 +1,13 @@
-"""Porter's suffix stripping (1980) as built-in column expressions.
+"""Porter's suffix stripping (1980) in built-in SQL expressions.
 
-Each step is a function from a word column to a word column. ``stem_array`` runs the steps
-over an array column, one ``transform`` per step: no step repeats the expression of the one
-before it, and no Python worker is started. (The same steps as projections over exploded
-words compile to methods too large for the JIT and ran three times slower.)
+Each step maps a word ``w`` to a word. ``stem_array`` runs the steps over an array, one
+``transform`` per step: no step repeats the expression of the one before it, and no Python
+worker is started. (The same steps as projections over exploded words compile to methods
+too large for the JIT and ran three times slower.)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # A word is [C](VC)^m[V]; y is a vowel after a consonant.
 _C = "[^aeiou][^aeiouy]*"
 _V = "[aeiouy][aeiou]*"
@@ -39,123 +36,90 @@ STEP_4 = (
 )
 
 
-def _chop(word: Column, n: int) -> Column:
-    return F.substring(word, F.lit(1), F.char_length(word) - n)
+def _chop(n: int) -> str:
+    return f"left(w, char_length(w) - {n})"
+
+
+def _ends(suffix: str) -> str:
+    return f"endswith(w, '{suffix}')"
+
+
+def _like(text: str, pattern: str) -> str:
+    return f"rlike({text}, '{pattern}')"
 
 
-def _first_match(word: Column, rules, condition: str) -> Column:
+def _case(*branches: tuple[str, str]) -> str:
+    """The value of the first condition that holds, else the word itself."""
+    whens = " ".join(f"WHEN {condition} THEN {value}" for condition, value in branches)
+    return f"CASE {whens} ELSE w END"
+
+
+def _first_match(rules, condition: str) -> str:
     """Apply the longest suffix that matches; if its stem fails the condition, stop.
 
     Rules are tried under their last letter, so most words see only a few of them.
     """
     by_letter: dict[str, list] = {}
     for suffix, replacement in sorted(rules, key=lambda r: -len(r[0])):
-        by_letter.setdefault(suffix[-1], []).append((suffix, replacement))
-    branches = []
-    for letter, group in by_letter.items():
-        tried = []
-        for suffix, replacement in group:
-            stem = _chop(word, len(suffix))
-            hit = word.endswith(suffix)
-            if suffix == "ion":
-                hit = word.endswith("sion") | word.endswith("tion")
-            new = F.concat(stem, F.lit(replacement))
-            tried.append((hit, F.when(stem.rlike(condition), new).otherwise(word)))
-        branches.append((word.endswith(letter), _case(tried, word)))
-    return _case(branches, word)
-
-
-def _case(branches, default: Column) -> Column:
-    (condition, value), *rest = branches
-    out = F.when(condition, value)
-    for condition, value in rest:
-        out = out.when(condition, value)
-    return out.otherwise(default)
-
-
-def _plural(w: Column) -> Column:
-    return (
-        F.when(~w.endswith("s") | w.endswith("ss"), w)
-        .when(w.endswith("sses") | w.endswith("ies"), _chop(w, 2))
-        .otherwise(_chop(w, 1))
-    )
-
-
-def _past(w: Column) -> Column:
-    """Drop -ed/-ing; a trailing bar marks the words the next step has to repair."""
-    return (
-        F.when(
-            w.endswith("eed"),
-            F.when(_chop(w, 3).rlike(M_POSITIVE), _chop(w, 1)).otherwise(w),
-        )
-        .when(
-            w.endswith("ed"),
-            F.when(_chop(w, 2).rlike(HAS_VOWEL), F.concat(_chop(w, 2), F.lit("|"))).otherwise(w),
-        )
-        .when(
-            w.endswith("ing"),
-            F.when(_chop(w, 3).rlike(HAS_VOWEL), F.concat(_chop(w, 3), F.lit("|"))).otherwise(w),
-        )
-        .otherwise(w)
-    )
-
-
-def _repair(w: Column) -> Column:
-    bare = _chop(w, 1)
-    return (
-        F.when(~w.endswith("|"), w)
-        .when(bare.rlike("(?:at|bl|iz)$"), F.concat(bare, F.lit("e")))
-        .when(bare.rlike(DOUBLE_END), _chop(w, 2))
-        .when(bare.rlike(SHORT_END), F.concat(bare, F.lit("e")))
-        .otherwise(bare)
-    )
-
-
-def _final_y(w: Column) -> Column:
-    turned = F.when(_chop(w, 1).rlike(HAS_VOWEL), F.concat(_chop(w, 1), F.lit("i"))).otherwise(w)
-    return F.when(w.endswith("y"), turned).otherwise(w)
-
-
-def _final_e(w: Column) -> Column:
-    bare = _chop(w, 1)
-    drop = bare.rlike(M_ABOVE_ONE) | (bare.rlike(M_ONE) & ~bare.rlike(SHORT_END))
-    return F.when(w.endswith("e"), F.when(drop, bare).otherwise(w)).otherwise(w)
-
-
-def _final_ll(w: Column) -> Column:
-    bare = _chop(w, 1)
-    return F.when(w.endswith("ll") & bare.rlike(M_ABOVE_ONE), bare).otherwise(w)
+        stem = _chop(len(suffix))
+        hit = f"({_ends('sion')} OR {_ends('tion')})" if suffix == "ion" else _ends(suffix)
+        new = f"concat({stem}, '{replacement}')"
+        by_letter.setdefault(suffix[-1], []).append((hit, _case((_like(stem, condition), new))))
+    return _case(*((_ends(letter), _case(*group)) for letter, group in by_letter.items()))
 
 
+_E = f"concat({_chop(1)}, 'e')"
+
 STEPS = (
-    _plural,
-    _past,
-    _repair,
-    _final_y,
-    lambda w: _first_match(w, STEP_2, M_POSITIVE),
-    lambda w: _first_match(w, STEP_3, M_POSITIVE),
-    lambda w: _first_match(w, [(s, "") for s in STEP_4], M_ABOVE_ONE),
-    _final_e,
-    _final_ll,
+    # 1a: plurals
+    _case(
+        (f"NOT {_ends('s')} OR {_ends('ss')}", "w"),
+        (f"{_ends('sses')} OR {_ends('ies')}", _chop(2)),
+        ("true", _chop(1)),
+    ),
+    # 1b: -ed and -ing; a trailing bar marks the words the next step has to repair
+    _case(
+        (_ends("eed"), _case((_like(_chop(3), M_POSITIVE), _chop(1)))),
+        (_ends("ed"), _case((_like(_chop(2), HAS_VOWEL), f"concat({_chop(2)}, '|')"))),
+        (_ends("ing"), _case((_like(_chop(3), HAS_VOWEL), f"concat({_chop(3)}, '|')"))),
+    ),
+    _case(
+        (f"NOT {_ends('|')}", "w"),
+        (_like(_chop(1), "(?:at|bl|iz)$"), _E),
+        (_like(_chop(1), DOUBLE_END), _chop(2)),
+        (_like(_chop(1), SHORT_END), _E),
+        ("true", _chop(1)),
+    ),
+    # 1c: final y
+    _case((f"{_ends('y')} AND {_like(_chop(1), HAS_VOWEL)}", f"concat({_chop(1)}, 'i')")),
+    _first_match(STEP_2, M_POSITIVE),
+    _first_match(STEP_3, M_POSITIVE),
+    _first_match([(s, "") for s in STEP_4], M_ABOVE_ONE),
+    # 5a: final e
+    _case(
+        (f"NOT {_ends('e')}", "w"),
+        (_like(_chop(1), M_ABOVE_ONE), _chop(1)),
+        (f"{_like(_chop(1), M_ONE)} AND NOT {_like(_chop(1), SHORT_END)}", _chop(1)),
+    ),
+    # 5b: final ll
+    _case((f"{_ends('ll')} AND {_like(_chop(1), M_ABOVE_ONE)}", _chop(1))),
 )
 
-
 # Ends words that are too short to be stemmed, so that no rule matches them.
-_KEEP = "\u0001"
+_KEEP = "."
 
 
-def stem_array(words: Column, has_short: bool = True) -> Column:
-    """Stem each word of an array column; words under three letters stay.
+def stem_array(words: str, has_short: bool = True) -> str:
+    """Stem each word of an array; words under three letters stay.
 
     Pass ``has_short=False`` when every word is known to have three letters or more.
     """
     out = words
     if has_short:
-        out = F.transform(
-            out, lambda w: F.when(F.char_length(w) < 3, F.concat(w, F.lit(_KEEP))).otherwise(w)
-        )
+        keep = _case(("char_length(w) < 3", f"concat(w, '{_KEEP}')"))
+        out = f"transform({out}, w -> {keep})"
     for step in STEPS:
-        out = F.transform(out, step)
+        out = f"transform({out}, w -> {step})"
     if has_short:
-        out = F.transform(out, lambda w: F.when(w.endswith(_KEEP), _chop(w, 1)).otherwise(w))
+        out = f"transform({out}, w -> {_case((_ends(_KEEP), _chop(1)))})"
     return out

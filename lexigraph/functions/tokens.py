@@ -1,19 +1,19 @@
-"""Token and two-word-gram arrays as column expressions.
+"""Token and two-word-gram arrays.
 
 A document's tokens live in one array column, so counting, lengths and adjacency need no
 shuffle: everything about one document is computed in the row that holds its text.
+
+The functions take and return SQL text. An expression of this size is one call to the JVM
+that way; built node by node it took seconds before any job started.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from .stopwords import ENGLISH
 
-# Java's \w is ASCII only, so the word class is spelled out.
+# Java's \w is ASCII only, so the word class is spelled out. \x27 is the apostrophe.
 _WORD = r"[\p{L}\p{N}_]"
 
 INDEX_MIN_CHARS = 3
@@ -22,27 +22,28 @@ QUERY_MIN_CHARS = 2
 
 def token_pattern(min_chars: int) -> str:
     """A word of ``min_chars`` to 25 characters; ``'`` and ``-`` may join them."""
-    return rf"[#@\p{{L}}\p{{N}}_](?:['\-]?{_WORD}){{{min_chars - 1},24}}"
+    return rf"[#@\p{{L}}\p{{N}}_](?:[\x27\-]?{_WORD}){{{min_chars - 1},24}}"
 
 
-def tokens(text: Column, min_chars: int = INDEX_MIN_CHARS) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(token_pattern(min_chars)), F.lit(0))
+def tokens(text: str, min_chars: int = INDEX_MIN_CHARS) -> str:
+    return f"regexp_extract_all(lower({text}), r'{token_pattern(min_chars)}', 0)"
 
 
-def without(words: Column, stop_words: Sequence[str] = ENGLISH) -> Column:
-    return F.filter(words, lambda w: ~w.isin(list(stop_words)))
+def without(words: str, stop_words: Sequence[str] = ENGLISH) -> str:
+    if not stop_words:
+        return words
+    listed = ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in stop_words)
+    return f"filter({words}, w -> w NOT IN ({listed}))"
 
 
-def grams(words: Column) -> Column:
-    """Adjacent pairs, repeats kept."""
-    n = F.greatest(F.size(words) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(words, 1, n),
-        F.slice(words, 2, n),
-        lambda a, b: F.concat_ws(" ", a, b),
+def grams(words: str) -> str:
+    """Adjacent pairs of a column, repeats kept."""
+    n = f"greatest(size({words}) - 1, 0)"
+    return (
+        f"zip_with(slice({words}, 1, {n}), slice({words}, 2, {n}), (a, b) -> concat_ws(' ', a, b))"
     )
 
 
-def raw_word_count(text: Column) -> Column:
+def raw_word_count(text: str) -> str:
     """Pieces left after non-word characters become spaces; empty pieces count."""
-    return F.size(F.split(F.regexp_replace(text, r"[^\p{L}\p{N}_]", " "), " ", -1))
+    return rf"size(split(regexp_replace({text}, r'[^\p{{L}}\p{{N}}_]', ' '), ' ', -1))"

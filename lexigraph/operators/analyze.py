@@ -26,11 +26,12 @@ class Profile:
     stop_words: Sequence[str] = stopwords.ENGLISH
     index_stop_words: Sequence[str] = stopwords.ALL
 
-    def words(self, text: Column) -> Column:
+    def words(self, text: str) -> str:
+        """SQL text of the word array of a text column."""
         kept = tokens.without(tokens.tokens(text, self.min_chars), self.stop_words)
         return stem_array(kept, has_short=self.min_chars < 3) if self.stem else kept
 
-    def indexed(self, words: Column) -> Column:
+    def indexed(self, words: str) -> str:
         return tokens.without(words, self.index_stop_words)
 
 
@@ -80,14 +81,13 @@ def forward_rows(docs: DataFrame, profile: Profile = INDEX) -> DataFrame:
     ``terms`` and ``grams`` count the stemmed words and adjacent pairs that ``profile``
     indexes, ``words`` the unstemmed words. Every other column of ``docs`` is kept.
     """
-    stems = profile.words(F.col("text"))
     plain = Profile(profile.min_chars, False, profile.stop_words, profile.index_stop_words)
     return counts(
-        docs.withColumn("_stems", stems)
+        docs.withColumn("_stems", F.expr(profile.words("text")))
         .withColumn("doc_len", F.size("_stems"))
-        .withColumn("_terms", profile.indexed(F.col("_stems")))
-        .withColumn("_grams", tokens.grams(F.col("_stems")))
-        .withColumn("_words", plain.indexed(plain.words(F.col("text")))),
+        .withColumn("_terms", F.expr(profile.indexed("_stems")))
+        .withColumn("_grams", F.expr(tokens.grams("_stems")))
+        .withColumn("_words", F.expr(plain.indexed(plain.words("text")))),
         terms="_terms",
         grams="_grams",
         words="_words",
@@ -124,6 +124,6 @@ def merge_pieces(forward: DataFrame, all_ids: DataFrame) -> DataFrame:
     )
 
 
-def positions(docs: DataFrame, words: Column) -> DataFrame:
-    """``(doc_id, pos, term)`` of an array expression over ``docs``."""
-    return docs.select("doc_id", F.posexplode(words).alias("pos", "term"))
+def positions(docs: DataFrame, words: str) -> DataFrame:
+    """``(doc_id, pos, term)`` of an array in SQL text over ``docs``."""
+    return docs.select("doc_id", F.posexplode(F.expr(words)).alias("pos", "term"))

@@ -58,11 +58,10 @@ class IndexSet:
     def _forward(self, component: str) -> DataFrame:
         docs = _spread(self.corpus.field(component))
         if component == "title":
-            query_grams = F.array_distinct(tokens.grams(F.col("_query_words")))
             docs = (
-                docs.withColumn("raw_words", tokens.raw_word_count(F.col("text")))
-                .withColumn("_query_words", QUERY.words(F.col("text")))
-                .withColumn("_query_grams", query_grams)
+                docs.withColumn("raw_words", F.expr(tokens.raw_word_count("text")))
+                .withColumn("_query_words", F.expr(QUERY.words("text")))
+                .withColumn("_query_grams", F.array_distinct(F.expr(tokens.grams("_query_words"))))
                 .withColumn("n_title_grams", F.size("_query_grams"))
                 .withColumn(
                     "query_grams",

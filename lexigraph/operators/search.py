@@ -54,9 +54,9 @@ class QueryBatch:
         stored = workspace.write(
             counts(
                 queries.filter(F.char_length("query") > 0)
-                .withColumn("stems", QUERY.words(F.col("query")))
-                .withColumn("grams", F.array_distinct(tokens.grams(F.col("stems"))))
-                .withColumn("plain", UNSTEMMED.indexed(UNSTEMMED.words(F.col("query")))),
+                .withColumn("stems", F.expr(QUERY.words("query")))
+                .withColumn("grams", F.array_distinct(F.expr(tokens.grams("stems"))))
+                .withColumn("plain", F.expr(UNSTEMMED.indexed(UNSTEMMED.words("query")))),
                 terms="stems",
                 words="plain",
             ).select(

@@ -172,41 +172,41 @@ def _body(t: Tables) -> DataFrame:
 
 @query
 def tokens_index_profile(t: Tables) -> DataFrame:
-    return positions(_body(t), tokens.tokens(F.col("text"), tokens.INDEX_MIN_CHARS))
+    return positions(_body(t), tokens.tokens("text", tokens.INDEX_MIN_CHARS))
 
 
 @query
 def tokens_query_profile(t: Tables) -> DataFrame:
-    return positions(_body(t), tokens.tokens(F.col("text"), tokens.QUERY_MIN_CHARS))
+    return positions(_body(t), tokens.tokens("text", tokens.QUERY_MIN_CHARS))
 
 
 @query
 def stopword_filter_pre(t: Tables) -> DataFrame:
-    return positions(_body(t), tokens.without(tokens.tokens(F.col("text"))))
+    return positions(_body(t), tokens.without(tokens.tokens("text")))
 
 
 @query
 def stem_vocabulary(t: Tables) -> DataFrame:
     """Each distinct word of the bodies, as the query profile reads them, and its stem."""
-    words = positions(_body(t), tokens.tokens(F.col("text"), tokens.QUERY_MIN_CHARS))
+    words = positions(_body(t), tokens.tokens("text", tokens.QUERY_MIN_CHARS))
     return (
         words.select(F.col("term").alias("word"))
         .distinct()
-        .withColumn("stem", F.get(stem_array(F.array("word")), 0))
+        .withColumn("stem", F.expr(f"{stem_array('array(word)')}[0]"))
     )
 
 
 @query
 def stopword_filter_post(t: Tables) -> DataFrame:
-    return positions(_body(t), INDEX.indexed(INDEX.words(F.col("text"))))
+    return positions(_body(t), INDEX.indexed(INDEX.words("text")))
 
 
 @query
 def bigrams(t: Tables) -> DataFrame:
     """The set of adjacent pairs of each body."""
-    arrays = _body(t).withColumn("words", INDEX.words(F.col("text")))
+    arrays = _body(t).withColumn("words", F.expr(INDEX.words("text")))
     return arrays.select(
-        "doc_id", F.explode(F.array_distinct(tokens.grams(F.col("words")))).alias("gram")
+        "doc_id", F.explode(F.array_distinct(F.expr(tokens.grams("words")))).alias("gram")
     )
 
 
@@ -223,7 +223,7 @@ def bigram_index_body(t: Tables) -> DataFrame:
 @query
 def title_word_count(t: Tables) -> DataFrame:
     return t.corpus.field("title").select(
-        "doc_id", tokens.raw_word_count(F.col("text")).alias("raw_words")
+        "doc_id", F.expr(tokens.raw_word_count("text")).alias("raw_words")
     )
 
 
