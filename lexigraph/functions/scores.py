@@ -21,6 +21,11 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.when(denominator > 0, numerator / denominator).otherwise(F.lit(0.0))
 
 
-def min_max(score: Column, low: Column, high: Column, on_zero_range: str = "zero") -> Column:
+def min_max(
+    score: Column, low: Column, high: Column, digits: int, on_zero_range: str = "zero"
+) -> Column:
+    """(score - low) / (high - low); ends that agree to ``digits`` count as equal."""
     flat = F.lit(0.0) if on_zero_range == "zero" else score
-    return F.when(high == low, flat).otherwise((score - low) / (high - low))
+    return F.when(F.round(high, digits) == F.round(low, digits), flat).otherwise(
+        (score - low) / (high - low)
+    )

@@ -26,10 +26,15 @@ class Profile:
     stop_words: Sequence[str] = stopwords.ENGLISH
     index_stop_words: Sequence[str] = stopwords.ALL
 
+    def plain_words(self, text: str) -> str:
+        """SQL text of the unstemmed words of a text column."""
+        return tokens.without(tokens.tokens(text, self.min_chars), self.stop_words)
+
+    def stemmed(self, words: str) -> str:
+        return stem_array(words, has_short=self.min_chars < 3) if self.stem else words
+
     def words(self, text: str) -> str:
-        """SQL text of the word array of a text column."""
-        kept = tokens.without(tokens.tokens(text, self.min_chars), self.stop_words)
-        return stem_array(kept, has_short=self.min_chars < 3) if self.stem else kept
+        return self.stemmed(self.plain_words(text))
 
     def indexed(self, words: str) -> str:
         return tokens.without(words, self.index_stop_words)
@@ -61,37 +66,48 @@ def _run_lengths(ordered: str, starts: str) -> Column:
     )
 
 
-def counts(df: DataFrame, **arrays: str) -> DataFrame:
+def counts(df: DataFrame, *arrays: str) -> DataFrame:
     """Replace array columns by ``ARRAY<STRUCT<term, tf>>`` of their distinct members.
 
-    Keywords name the new columns, values the arrays to count. Each array is sorted and
-    its runs are measured, so a long document costs n log n and leaves its row only as
-    counts. The three projections stay apart: a lambda must read the sorted array, not
+    Each array is sorted and its runs are measured, so a long document costs n log n and
+    leaves its row only as counts. The three projections stay apart: a lambda must read the sorted array, not
     sort it again for every element.
     """
-    df = df.withColumns({name: F.sort_array(array) for name, array in arrays.items()})
+    df = df.withColumns({name: F.sort_array(name) for name in arrays})
     df = df.withColumns({f"{name}_starts": _run_starts(name) for name in arrays})
     df = df.withColumns({name: _run_lengths(name, f"{name}_starts") for name in arrays})
     return df.drop(*(f"{name}_starts" for name in arrays))
 
 
+def spread(docs: DataFrame) -> DataFrame:
+    """Divide text that comes in fewer splits than there are cores.
+
+    Analysis is bound by CPU. A larger input is analyzed where it is read, unshuffled.
+    """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
+
+
 def forward_rows(docs: DataFrame, profile: Profile = INDEX) -> DataFrame:
     """``(doc_id, text, doc_len, terms, grams, words)`` for ``docs(doc_id, text)``.
 
     ``terms`` and ``grams`` count the stemmed words and adjacent pairs that ``profile``
     indexes, ``words`` the unstemmed words. Every other column of ``docs`` is kept.
     """
-    plain = Profile(profile.min_chars, False, profile.stop_words, profile.index_stop_words)
     return counts(
-        docs.withColumn("_stems", F.expr(profile.words("text")))
-        .withColumn("doc_len", F.size("_stems"))
-        .withColumn("_terms", F.expr(profile.indexed("_stems")))
-        .withColumn("_grams", F.expr(tokens.grams("_stems")))
-        .withColumn("_words", F.expr(plain.indexed(plain.words("text")))),
-        terms="_terms",
-        grams="_grams",
-        words="_words",
-    ).drop("_stems", "_terms", "_grams", "_words")
+        docs.withColumn("_plain", F.expr(profile.plain_words("text")))
+        .withColumn("_stems", F.expr(profile.stemmed("_plain")))
+        .select(
+            *docs.columns,
+            F.size("_stems").alias("doc_len"),
+            F.expr(profile.indexed("_stems")).alias("terms"),
+            F.expr(tokens.grams("_stems")).alias("grams"),
+            F.expr(profile.indexed("_plain")).alias("words"),
+        ),
+        "terms",
+        "grams",
+        "words",
+    )
 
 
 def merge_pieces(forward: DataFrame, all_ids: DataFrame) -> DataFrame:

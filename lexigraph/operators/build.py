@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import tokens
 from ..sources.corpus import Corpus
 from ..workspace import Workspace
-from .analyze import QUERY, forward_rows, merge_pieces
+from .analyze import QUERY, forward_rows, merge_pieces, spread
 from .fusion import SearchIndexes
 from .index import Index, build_index, flatten, squared_norms
 
@@ -32,13 +32,6 @@ LAYOUT = {
 MIN_DF = {"body": 20, "body_grams": 20, "body_words": 20}
 
 
-def _spread(docs: DataFrame) -> DataFrame:
-    """Analysis is bound by CPU: text that comes in fewer splits than there are cores is
-    divided first. Inputs of any size beyond that are analyzed where they are read."""
-    cores = docs.sparkSession.sparkContext.defaultParallelism
-    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
-
-
 class IndexSet:
     """The indexes of one corpus under one workspace.
 
@@ -56,7 +49,7 @@ class IndexSet:
         self.norms = cache(self._norms)
 
     def _forward(self, component: str) -> DataFrame:
-        docs = _spread(self.corpus.field(component))
+        docs = spread(self.corpus.field(component))
         if component == "title":
             docs = (
                 docs.withColumn("raw_words", F.expr(tokens.raw_word_count("text")))

@@ -70,8 +70,7 @@ def min_max_normalize(
     been cut to a top k.
     """
     whole = Window.partitionBy("query_id")
-    ranked = ranked.withColumn(score, F.round(score, digits))
     scaled = min_max(
-        F.col(score), F.min(score).over(whole), F.max(score).over(whole), on_zero_range
+        F.col(score), F.min(score).over(whole), F.max(score).over(whole), digits, on_zero_range
     )
     return ranked.withColumn(score, scaled)

@@ -54,18 +54,18 @@ class QueryBatch:
         stored = workspace.write(
             counts(
                 queries.filter(F.char_length("query") > 0)
-                .withColumn("stems", F.expr(QUERY.words("query")))
-                .withColumn("grams", F.array_distinct(F.expr(tokens.grams("stems"))))
-                .withColumn("plain", F.expr(UNSTEMMED.indexed(UNSTEMMED.words("query")))),
-                terms="stems",
-                words="plain",
-            ).select(
-                "query_id",
-                F.char_length("query").alias("n_chars"),
-                F.size("stems").alias("n_tokens"),
-                F.size("plain").alias("n_words"),
+                .withColumn("terms", F.expr(QUERY.words("query")))
+                .withColumn("words", F.expr(UNSTEMMED.indexed(UNSTEMMED.words("query"))))
+                .select(
+                    "query_id",
+                    F.char_length("query").alias("n_chars"),
+                    F.size("terms").alias("n_tokens"),
+                    F.size("words").alias("n_words"),
+                    F.array_distinct(F.expr(tokens.grams("terms"))).alias("grams"),
+                    "terms",
+                    "words",
+                ),
                 "terms",
-                "grams",
                 "words",
             ),
             f"{name}/analyzed",

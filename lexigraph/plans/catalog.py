@@ -13,7 +13,7 @@ from ..functions import tokens
 from ..functions.stem import stem_array
 from ..operators import evaluation, fusion, links, lookup, search
 from ..operators import index as ix
-from ..operators.analyze import INDEX, QUERY, positions
+from ..operators.analyze import INDEX, positions, spread
 from ..operators.build import IndexSet
 from ..operators.ranking import min_max_normalize, top_k
 from ..operators.search import QueryBatch
@@ -167,7 +167,7 @@ def stats_from_other_build(t: Tables) -> DataFrame:
 
 
 def _body(t: Tables) -> DataFrame:
-    return t.corpus.field("body")
+    return spread(t.corpus.field("body"))
 
 
 @query

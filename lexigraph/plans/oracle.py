@@ -311,17 +311,16 @@ def scaled(name: str, zero: str = "0.0") -> None:
         f"{name}_mm",
         f"""
         SELECT * EXCLUDE (score), CASE
-          WHEN max(score) OVER w = min(score) OVER w THEN {zero}
+          WHEN round(max(score) OVER w, 6) = round(min(score) OVER w, 6) THEN {zero}
           ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END AS score
-        FROM {name}_rounded WINDOW w AS (PARTITION BY query_id)""",
-        f"{name}_rounded",
+        FROM {name} WINDOW w AS (PARTITION BY query_id)""",
+        name,
     )
 
 
 def result_list(name: str, k: int, raw: str, *needs: str) -> None:
     cte(f"{name}_raw", raw, *needs)
     cte(name, cut(f"{name}_raw", k), f"{name}_raw")
-    cte(f"{name}_rounded", f"SELECT * REPLACE (round(score, 6) AS score) FROM {name}", name)
     scaled(name)
 
 
@@ -435,10 +434,10 @@ cte(
     "view_scores_keep",
     """
     SELECT query_id, doc_id, rank, CASE
-      WHEN max(score) OVER w = min(score) OVER w THEN score
+      WHEN round(max(score) OVER w, 6) = round(min(score) OVER w, 6) THEN score
       ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END AS score
-    FROM view_scores_rounded WINDOW w AS (PARTITION BY query_id)""",
-    "view_scores_rounded",
+    FROM view_scores WINDOW w AS (PARTITION BY query_id)""",
+    "view_scores",
 )
 
 
