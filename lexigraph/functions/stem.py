@@ -1,4 +1,5 @@
-"""Porter's suffix stripping (1980) in built-in SQL expressions.
+"""Porter's suffix stripping in built-in SQL expressions: the 1980 rules, or with the
+extensions that a widely used language toolkit applies by default.
 
 Each step maps a word ``w`` to a word. ``stem_array`` runs the steps over an array, one
 ``transform`` per step: no step repeats the expression of the one before it, and no Python
@@ -26,6 +27,7 @@ STEP_2 = (
     ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"),
     ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"),
 )
+EXTENDED_STEP_2 = tuple(r for r in STEP_2 if r[0] != "abli") + (("bli", "ble"), ("fulli", "ful"))
 STEP_3 = (
     ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"),
     ("ful", ""), ("ness", ""),
@@ -35,6 +37,14 @@ STEP_4 = (
     "ou", "ism", "ate", "iti", "ous", "ive", "ize",
 )
 
+# The words the extensions look up instead of stemming.
+IRREGULAR = {
+    "sky": "sky", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
+    "news": "news", "innings": "inning", "inning": "inning", "outings": "outing",
+    "outing": "outing", "cannings": "canning", "canning": "canning", "howe": "howe",
+    "proceed": "proceed", "exceed": "exceed", "succeed": "succeed",
+}
+
 
 def _chop(n: int) -> str:
     return f"left(w, char_length(w) - {n})"
@@ -70,6 +80,7 @@ def _first_match(rules, condition: str) -> str:
 
 _E = f"concat({_chop(1)}, 'e')"
 
+# The 1980 rules.
 STEPS = (
     # 1a: plurals
     _case(
@@ -105,21 +116,49 @@ STEPS = (
     _case((f"{_ends('ll')} AND {_like(_chop(1), M_ABOVE_ONE)}", _chop(1))),
 )
 
-# Ends words that are too short to be stemmed, so that no rule matches them.
+_EXTENDED_SHORT_END = f"(?:{SHORT_END}|^[aeiou][^aeiou]$)"
+
+# With the extensions: four-letter -ies and -ied keep their e, y stays after a vowel or a
+# single letter, -alli is taken off before the table is read, -logi loses its i, and a
+# vowel and a consonant alone count as a short end.
+EXTENDED_STEPS = (
+    _case((f"{_ends('ies')} AND char_length(w) = 4", _chop(1)), ("true", STEPS[0])),
+    _case(
+        (f"{_ends('ied')} AND char_length(w) = 4", _chop(1)),
+        (_ends("ied"), _chop(2)),
+        ("true", STEPS[1]),
+    ),
+    STEPS[2].replace(SHORT_END, _EXTENDED_SHORT_END),
+    _case((_like("w", ".(?:[^aeiouy]|[aeiou]y)y$"), f"concat({_chop(1)}, 'i')")),
+    _case((f"{_ends('alli')} AND {_like(_chop(4), M_POSITIVE)}", _chop(2))),
+    _case(
+        (_ends("logi"), _case((_like(_chop(3), M_POSITIVE), _chop(1)))),
+        ("true", _first_match(EXTENDED_STEP_2, M_POSITIVE)),
+    ),
+    STEPS[5],
+    STEPS[6],
+    STEPS[7].replace(SHORT_END, _EXTENDED_SHORT_END),
+    STEPS[8],
+)
+
+# Ends words that are not to be stemmed, so that no rule matches them.
 _KEEP = "."
 
 
-def stem_array(words: str, has_short: bool = True) -> str:
+def stem_array(words: str, has_short: bool = True, extended: bool = False) -> str:
     """Stem each word of an array; words under three letters stay.
 
     Pass ``has_short=False`` when every word is known to have three letters or more.
     """
-    out = words
+    kept = []
     if has_short:
-        keep = _case(("char_length(w) < 3", f"concat(w, '{_KEEP}')"))
-        out = f"transform({out}, w -> {keep})"
-    for step in STEPS:
+        kept.append(("char_length(w) < 3", f"concat(w, '{_KEEP}')"))
+    if extended:
+        known: dict[str, list[str]] = {}
+        for word, stem in IRREGULAR.items():
+            known.setdefault(stem, []).append(f"'{word}'")
+        kept += [(f"w IN ({', '.join(ws)})", f"'{stem}{_KEEP}'") for stem, ws in known.items()]
+    out = f"transform({words}, w -> {_case(*kept)})" if kept else words
+    for step in EXTENDED_STEPS if extended else STEPS:
         out = f"transform({out}, w -> {step})"
-    if has_short:
-        out = f"transform({out}, w -> {_case((_ends(_KEEP), _chop(1)))})"
-    return out
+    return f"transform({out}, w -> {_case((_ends(_KEEP), _chop(1)))})" if kept else out

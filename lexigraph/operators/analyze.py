@@ -18,11 +18,12 @@ class Profile:
 
     ``stop_words`` are dropped before stemming and do not count towards a document's
     length. ``index_stop_words`` are dropped after stemming: they count towards the length
-    but are not indexed.
+    but are not indexed. ``extended`` picks the stemmer's extended rules.
     """
 
     min_chars: int = tokens.INDEX_MIN_CHARS
     stem: bool = True
+    extended: bool = False
     stop_words: Sequence[str] = stopwords.ENGLISH
     index_stop_words: Sequence[str] = stopwords.ALL
 
@@ -31,7 +32,7 @@ class Profile:
         return tokens.without(tokens.tokens(text, self.min_chars), self.stop_words)
 
     def stemmed(self, words: str) -> str:
-        return stem_array(words, has_short=self.min_chars < 3) if self.stem else words
+        return stem_array(words, self.min_chars < 3, self.extended) if self.stem else words
 
     def words(self, text: str) -> str:
         return self.stemmed(self.plain_words(text))

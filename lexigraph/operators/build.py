@@ -43,7 +43,7 @@ class IndexSet:
         self.corpus = corpus
         self.workspace = workspace
         self.min_df = MIN_DF if min_df is None else min_df
-        self.root = workspace.path("index")
+        self.root = workspace.fresh("index")
         self.forward = cache(self._forward)
         self.index = cache(self._index)
         self.norms = cache(self._norms)

@@ -151,7 +151,7 @@ def page_link_parse(t: Tables) -> DataFrame:
 @query
 def index_round_trip(t: Tables) -> DataFrame:
     built = t.indexes.index("body")
-    root = t.workspace.path("round_trip")
+    root = t.workspace.fresh("round_trip")
     ix.write_index(built, root, "body")
     return ix.read_index(t.spark, root, "body").postings.select("term", "doc_id", "tf", "df", "doc_len")
 
@@ -188,11 +188,21 @@ def stopword_filter_pre(t: Tables) -> DataFrame:
 @query
 def stem_vocabulary(t: Tables) -> DataFrame:
     """Each distinct word of the bodies, as the query profile reads them, and its stem."""
+    return _vocabulary(t, extended=False)
+
+
+@query
+def stem_vocabulary_extended(t: Tables) -> DataFrame:
+    return _vocabulary(t, extended=True)
+
+
+def _vocabulary(t: Tables, extended: bool) -> DataFrame:
     words = positions(_body(t), tokens.tokens("text", tokens.QUERY_MIN_CHARS))
+    stem = stem_array("array(word)", extended=extended)
     return (
         words.select(F.col("term").alias("word"))
         .distinct()
-        .withColumn("stem", F.expr(f"{stem_array('array(word)')}[0]"))
+        .withColumn("stem", F.expr(f"{stem}[0]"))
     )
 
 

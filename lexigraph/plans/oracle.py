@@ -93,7 +93,41 @@ def _table(rules, condition) -> str:
     return "CASE " + " ".join(whens) + " ELSE s END"
 
 
-def stems(name: str, source: str) -> None:
+_IRREGULAR = (
+    "CASE word WHEN 'skies' THEN 'sky' WHEN 'dying' THEN 'die' WHEN 'lying' THEN 'lie' "
+    "WHEN 'tying' THEN 'tie' WHEN 'innings' THEN 'inning' WHEN 'outings' THEN 'outing' "
+    "WHEN 'cannings' THEN 'canning' ELSE word END"
+)
+_AS_THEY_ARE = (
+    "('sky', 'skies', 'dying', 'lying', 'tying', 'news', 'innings', 'inning', 'outings', 'outing', "
+    "'cannings', 'canning', 'howe', 'proceed', 'exceed', 'succeed')"
+)
+
+
+def extend(steps: list[str]) -> list[str]:
+    """The toolkit's variant of the nine steps."""
+    plural, past, repair, _, step2, step3, step4, final_e, final_ll = steps
+    short = "^([aeiou][^aeiou]|" + _O[1:-1] + ")$"
+    rules = {k: v for k, v in _STEP2.items() if k != "abli"} | {"bli": "ble", "fulli": "ful", "logi": "log"}
+    return [
+        f"CASE WHEN length(s) = 4 AND ends_with(s, 'ies') THEN {_cut(1)} ELSE {plural} END",
+        f"CASE WHEN ends_with(s, 'ied') THEN CASE WHEN length(s) = 4 THEN {_cut(1)} ELSE {_cut(2)} END "
+        f"ELSE {past} END",
+        repair.replace(_O, short),
+        f"CASE WHEN length(s) > 2 AND {_is('s', '([^aeiouy]|[aeiou]y)y$')} THEN {_cut(1)} || 'i' ELSE s END",
+        f"CASE WHEN ends_with(s, 'alli') AND {_is(_cut(4), _M0)} THEN {_cut(2)} ELSE s END",
+        # The measure of -logi is taken with its l.
+        _table(rules, _M0).replace(
+            f"'logi') THEN CASE WHEN {_is(_cut(4), _M0)}", f"'logi') THEN CASE WHEN {_is(_cut(3), _M0)}"
+        ),
+        step3,
+        step4,
+        final_e.replace(_O, short),
+        final_ll,
+    ]
+
+
+def stems(name: str, source: str, extended: bool = False) -> None:
     """CTE ``name(word, stem)`` over the distinct ``term`` of CTE ``source``."""
     steps = [
         "CASE WHEN ends_with(s, 'sses') OR ends_with(s, 'ies') THEN " + _cut(2)
@@ -113,6 +147,7 @@ def stems(name: str, source: str) -> None:
         f"AND NOT {_is(_cut(1), _O)})) THEN {_cut(1)} ELSE s END",
         f"CASE WHEN ends_with(s, 'll') AND {_is(_cut(1), _M2)} THEN {_cut(1)} ELSE s END",
     ]
+    steps = extend(steps) if extended else steps
     before = cte(
         f"{name}_0", f"SELECT word, word AS s FROM (SELECT DISTINCT term AS word FROM {source})", source
     )
@@ -120,7 +155,9 @@ def stems(name: str, source: str) -> None:
         before = cte(f"{name}_{i}", f"SELECT word, {step} AS s FROM {before}", before)
     cte(
         name,
-        f"SELECT word, CASE WHEN length(word) < 3 THEN word ELSE s END AS stem FROM {before}",
+        f"SELECT word, CASE WHEN length(word) < 3 THEN word "
+        + (f"WHEN word IN {_AS_THEY_ARE} THEN {_IRREGULAR} " if extended else "")
+        + f"ELSE s END AS stem FROM {before}",
         before,
     )
 
@@ -209,6 +246,7 @@ for _field in ("title", "body", "anchor", "query"):
 
 # Every distinct word of the bodies, stop words included.
 stems("whole_vocab", "body_tok2")
+stems("extended_vocab", "body_tok2", extended=True)
 
 
 # Indexes: <name>_tf, <name>_df, <name>_post; <field>_len
@@ -647,6 +685,7 @@ def queries() -> dict[str, str]:
         "tokens_query_profile": _all_of("body_tok2"),
         "stopword_filter_pre": _all_of("body_kept3"),
         "stem_vocabulary": sql_of("SELECT word, stem FROM whole_vocab", "whole_vocab"),
+        "stem_vocabulary_extended": sql_of("SELECT word, stem FROM extended_vocab", "extended_vocab"),
         "stopword_filter_post": sql_of(
             f"""SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS INTEGER) AS pos, term
             FROM body_stem3 WHERE term NOT IN {ALL}""",

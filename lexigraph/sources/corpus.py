@@ -16,10 +16,14 @@ STUB_CHARS = 500
 
 @dataclass(frozen=True)
 class Corpus:
-    """``docs(id, title, text)`` and ``links(src, dst, text)``."""
+    """``docs(id, title, text)`` and ``links(src, dst, text)``.
+
+    ``stored_titles(id, title)`` spares readers of titles the text they were derived from.
+    """
 
     docs: DataFrame
     links: DataFrame
+    stored_titles: DataFrame | None = None
 
     def field(self, name: str) -> DataFrame:
         """``(doc_id, text)`` of one component.
@@ -28,7 +32,7 @@ class Corpus:
         link, under the id of the page the link points to.
         """
         if name == "title":
-            return self.docs.select(F.col("id").alias("doc_id"), F.col("title").alias("text"))
+            return self.titles().withColumnRenamed("title", "text")
         if name == "body":
             return self.docs.select(F.col("id").alias("doc_id"), "text")
         if name == "anchor":
@@ -36,7 +40,8 @@ class Corpus:
         raise ValueError(f"no component {name!r}")
 
     def titles(self) -> DataFrame:
-        return self.docs.select(F.col("id").alias("doc_id"), "title")
+        stored = self.docs if self.stored_titles is None else self.stored_titles
+        return stored.select(F.col("id").alias("doc_id"), "title")
 
 
 def scan(spark: SparkSession, *paths: str, glob: str | None = None) -> Corpus:
@@ -65,10 +70,11 @@ def documents_corpus(spark: SparkSession, folder: str, workspace: Workspace) ->
     """
     documents = spark.read.schema(schemas.DOCUMENTS).parquet(f"{folder}/documents.parquet")
     docs = documents.select(F.col("doc_id").alias("id"), title_of(F.col("text")).alias("title"), "text")
+    stored_titles = workspace.write(docs.select("id", "title"), "corpus/titles")
 
     n_docs = documents.count()
     linking = documents.filter(F.col("n_chars") >= STUB_CHARS).select("doc_id", "source")
-    titles = docs.select(F.col("id").alias("dst"), "title")
+    titles = stored_titles.withColumnRenamed("id", "dst")
     onward = (
         linking.select(
             F.col("doc_id").alias("src"), ((F.col("doc_id") * 7 + 3) % n_docs).alias("dst")
@@ -79,18 +85,16 @@ def documents_corpus(spark: SparkSession, folder: str, workspace: Workspace) ->
     # One row per source. Written first, so that the join below sees its true size and
     # broadcasts it only when it is small.
     homes = workspace.write(
-        documents.groupBy("source").agg(
-            F.min(F.struct("doc_id", title_of(F.col("text")).alias("title"))).alias("home")
-        ),
+        documents.groupBy("source").agg(F.min("doc_id").alias("dst")).join(titles, "dst"),
         "corpus/homes",
     )
     homeward = linking.join(homes, "source").select(
         F.col("doc_id").alias("src"),
-        F.col("home.doc_id").alias("dst"),
-        F.concat_ws(" ", "source", "home.title").alias("text"),
+        "dst",
+        F.concat_ws(" ", "source", "title").alias("text"),
     )
     links = workspace.write(onward.unionByName(homeward), "corpus/links")
-    return Corpus(docs, links)
+    return Corpus(docs, links, stored_titles)
 
 
 def with_anchor_text(corpus: Corpus) -> DataFrame:

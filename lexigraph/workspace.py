@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,10 +38,12 @@ class Workspace:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/lexigraph/{app}/{digest}"
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+    def fresh(self, name: str) -> str:
+        """A path no other call has had: tables already handed out are never replaced."""
+        return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return it as a scan of the written table."""
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
+        path = self.fresh(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

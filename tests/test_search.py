@@ -41,7 +41,7 @@ def ws(spark):
 @pytest.fixture(scope="module")
 def corpus(spark, ws):
     rows = [(i, t, b, [{"id": d, "text": x} for d, x in links]) for i, t, b, links in DOCS]
-    path = ws.path("stored")
+    path = ws.fresh("stored")
     spark.createDataFrame(rows, schemas.CORPUS).repartition(2).write.mode("overwrite").parquet(path)
     return corpora.scan(spark, path, glob="*.parquet")
 
@@ -202,8 +202,9 @@ def test_title_map_keeps_duplicate_titles(corpus):
 
 def test_stored_index_reads_back(spark, indexes, ws):
     built = indexes.index("body")
-    ix.write_index(built, ws.path("copy"), "body")
-    again = ix.read_index(spark, ws.path("copy"), "body")
+    root = ws.fresh("copy")
+    ix.write_index(built, root, "body")
+    again = ix.read_index(spark, root, "body")
     assert again.n_docs == N and again.avgdl == built.avgdl
     assert built.postings.exceptAll(again.postings).count() == 0
     assert again.term_stats.filter("cf < df").count() == 0

@@ -55,6 +55,21 @@ def test_porter_word_list(spark):
     assert [r for r in got.collect() if r["stem"] != r["got"]] == []
 
 
+EXTENDED = """
+dies die · ties tie · flies fli · skies sky · sky sky · dying die · spied spi · died die · news news
+· innings inning · enjoy enjoy · happy happi · by by · proceed proceed · conditionally condit
+· nationally nation · geology geolog · hopefully hope · possibly possibl · eve eve · caresses caress
+· relational relat · generously gener · controlling control
+"""
+
+
+def test_extended_rules(spark):
+    pairs = [tuple(p.split()) for p in EXTENDED.replace("\n", " ").split("·")]
+    df = spark.createDataFrame(pairs, "word STRING, stem STRING")
+    got = df.withColumn("got", F.expr(f"{stem_array('array(word)', extended=True)}[0]"))
+    assert [r for r in got.collect() if r["stem"] != r["got"]] == []
+
+
 def test_short_words_are_not_stemmed(spark):
     words = spark.createDataFrame([(["as", "is", "by", "ées", "cats"],)], "w ARRAY<STRING>")
     assert words.select(F.expr(stem_array("w"))).first()[0] == ["as", "is", "by", "ée", "cat"]
