@@ -12,7 +12,7 @@ from ..sources.corpus import Corpus
 from ..workspace import Workspace
 from .analyze import QUERY, forward_rows, merge_pieces, spread
 from .fusion import SearchIndexes
-from .index import Index, build_index, flatten, squared_norms
+from .index import Index, build_index, flatten, squared_norms, write_statistics
 
 # index name -> (component, counted column, columns carried into the postings)
 LAYOUT = {
@@ -47,6 +47,9 @@ class IndexSet:
         self.forward = cache(self._forward)
         self.index = cache(self._index)
         self.norms = cache(self._norms)
+        self.statistics = cache(
+            lambda component: write_statistics(self.doc_stats(component), self.root, component)
+        )
 
     def _forward(self, component: str) -> DataFrame:
         docs = spread(self.corpus.field(component))
@@ -88,9 +91,9 @@ class IndexSet:
     def _index(self, name: str, min_df: int | None = None) -> Index:
         threshold = self.min_df.get(name, 0) if min_df is None else min_df
         stored_as = name if min_df is None else f"{name}_over_{min_df}"
-        return build_index(
-            self.flat(name), self.doc_stats(LAYOUT[name][0]), self.root, stored_as, threshold
-        )
+        component = LAYOUT[name][0]
+        self.statistics(component)
+        return build_index(self.flat(name), self.root, stored_as, component, threshold)
 
     def _norms(self, name: str) -> DataFrame:
         return self.workspace.write(squared_norms(self.index(name)), f"norms/{name}")

@@ -1,13 +1,14 @@
 """Inverted indexes as Parquet tables.
 
-An index called ``name`` under a root folder is four tables, each a ``field=name``
-partition of its kind:
+An index under a root folder is four tables, each a ``field=<name>`` partition of its kind:
 
 ``postings``      ``(term, doc_id, tf, df, doc_len, ...)``, ordered by term and document
 ``term_stats``    ``(term, df, cf)`` of every term, also of those below the df threshold
 ``doc_stats``     ``(doc_id, doc_len)``, with a row for empty documents
 ``corpus_stats``  one row ``(n_docs, avgdl)``
 
+Several indexes of one component (its words, its two-word grams) share the last two.
+
 A posting repeats its term's ``df`` (constant within a run of the sort order, so it takes
 next to no space) and its document's length. Scoring therefore needs one join, query terms
 to postings, and none to statistics that grow with the corpus.
@@ -82,28 +83,32 @@ def table_path(root: str, table: str, name: str) -> str:
     return f"{root}/{table}/field={name}"
 
 
+def write_statistics(doc_stats: DataFrame, root: str, component: str) -> None:
+    """Store document lengths, and the size and mean length of the component."""
+    path = table_path(root, "doc_stats", component)
+    doc_stats.select("doc_id", "doc_len").write.mode("overwrite").parquet(path)
+    stored = doc_stats.sparkSession.read.parquet(path)
+    corpus_statistics(stored).write.mode("overwrite").parquet(
+        table_path(root, "corpus_stats", component)
+    )
+
+
 def build_index(
     flat: DataFrame,
-    doc_stats: DataFrame,
     root: str,
     name: str,
+    component: str,
     min_df: int = 20,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> Index:
     """Write the index of ``flat(doc_id, term, tf, ...)`` and read it back.
 
     Terms in ``min_df`` documents or fewer are left out of the postings. Other columns of
-    ``flat`` (document lengths, for example) go into the postings unchanged.
+    ``flat`` (document lengths, for example) go into the postings unchanged. The
+    statistics of ``component`` must have been written before.
     """
     spark = flat.sparkSession
     term_statistics(flat).write.mode("overwrite").parquet(table_path(root, "term_stats", name))
-    doc_stats.select("doc_id", "doc_len").write.mode("overwrite").parquet(
-        table_path(root, "doc_stats", name)
-    )
-    stored_stats = spark.read.parquet(table_path(root, "doc_stats", name))
-    corpus_statistics(stored_stats).write.mode("overwrite").parquet(
-        table_path(root, "corpus_stats", name)
-    )
     stats = spark.read.parquet(table_path(root, "term_stats", name))
     kept = stats.filter(F.col("df") > min_df).select("term", "df")
     hot = hot_keys(kept, "term", "df", rows_per_task)
@@ -117,7 +122,7 @@ def build_index(
         .write.mode("overwrite")
         .parquet(table_path(root, "postings", name))
     )
-    return read_index(spark, root, name, min_df)
+    return read_index(spark, root, name, component, min_df)
 
 
 def write_index(index: Index, root: str, name: str) -> None:
@@ -129,12 +134,18 @@ def write_index(index: Index, root: str, name: str) -> None:
         getattr(index, table).write.mode("overwrite").parquet(table_path(root, table, name))
 
 
-def read_index(spark: SparkSession, root: str, name: str, min_df: int = 0) -> Index:
-    tables = [
-        spark.read.parquet(table_path(root, t, name))
-        for t in ("postings", "term_stats", "doc_stats", "corpus_stats")
-    ]
-    return Index(*tables, min_df=min_df)
+def read_index(
+    spark: SparkSession, root: str, name: str, component: str | None = None, min_df: int = 0
+) -> Index:
+    """``component`` names the shared statistics; by default they are stored as ``name``."""
+    component = component or name
+    return Index(
+        spark.read.parquet(table_path(root, "postings", name)),
+        spark.read.parquet(table_path(root, "term_stats", name)),
+        spark.read.parquet(table_path(root, "doc_stats", component)),
+        spark.read.parquet(table_path(root, "corpus_stats", component)),
+        min_df=min_df,
+    )
 
 
 def lookup(index: Index, term: str) -> DataFrame:

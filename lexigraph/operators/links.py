@@ -50,9 +50,9 @@ def pagerank(
     edge_rows = workspace.write(edge_rows, f"{name}/edges")
     nodes = workspace.write(vertices(edge_rows), f"{name}/vertices")
     hot = hot_keys(nodes.withColumnRenamed("id", "src"), "src", "outdeg", rows_per_task)
+    key = ["src"] if hot is None else ["src", "part"]
     if hot is None:
-        parted = edge_rows.withColumn("part", F.lit(0))
-        state = nodes.withColumn("parts", F.lit(1))
+        parted, state = edge_rows, nodes.withColumn("parts", F.lit(1))
     else:
         hot = F.broadcast(workspace.write(hot, f"{name}/hot"))
         part = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("parts")), F.lit(0)).cast("int")
@@ -60,16 +60,23 @@ def pagerank(
         state = nodes.join(hot.withColumnRenamed("src", "id"), "id", "left").withColumn(
             "parts", F.coalesce("parts", F.lit(1))
         )
-    out_edges = parted.repartition("src", "part").persist(StorageLevel.DISK_ONLY)
+    n_edges = edge_rows.count()
+    shuffle = int(edge_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = max(shuffle, -(-n_edges // rows_per_task))
+    out_edges = (
+        parted.repartition(n_parts, *key).sortWithinPartitions(*key).persist(StorageLevel.DISK_ONLY)
+    )
+    # Filled before it is used: the joins below then know, and keep, its partitioning.
+    out_edges.count()
 
     ranks = state.withColumn("r", F.lit(1.0))
     for i in range(1, iterations + 1):
         shares = ranks.filter(F.col("outdeg") > 0).select(
-            F.col("id").alias("src"),
-            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-            (F.col("r") / F.col("outdeg")).alias("share"),
+            F.col("id").alias("src"), "parts", (F.col("r") / F.col("outdeg")).alias("share")
         )
-        received = out_edges.join(shares, ["src", "part"]).select(
+        if hot is not None:
+            shares = shares.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        received = out_edges.join(shares.drop("parts"), key).select(
             F.col("dst").alias("id"), "share", F.lit(0).cast("bigint").alias("outdeg"), F.lit(0).alias("parts")
         )
         kept = ranks.select("id", F.lit(0.0).alias("share"), "outdeg", "parts")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lexigraph import schemas
 from lexigraph.operators import links, search
-from lexigraph.operators.index import build_index
+from lexigraph.operators.index import build_index, write_statistics
 from lexigraph.operators.ranking import min_max_normalize, rank_all, top_k
 from lexigraph.operators.search import TermTable
 from lexigraph.operators.skew import hot_keys, spread_join
@@ -57,15 +57,19 @@ def test_no_hot_keys_below_the_threshold(spark):
 def test_index_of_skewed_terms(spark, ws):
     flat = skewed(spark)
     lengths = flat.select("doc_id", F.lit(1).alias("doc_len"))
-    plain = build_index(flat, lengths, ws.fresh("skew"), "plain", min_df=5)
-    spread = build_index(flat, lengths, ws.fresh("skew"), "spread", min_df=5, rows_per_task=10)
+    root = ws.fresh("skew")
+    write_statistics(lengths, root, "body")
+    plain = build_index(flat, root, "plain", "body", min_df=5)
+    spread = build_index(flat, root, "spread", "body", min_df=5, rows_per_task=10)
     assert plain.postings.exceptAll(spread.postings).count() == 0
     assert plain.postings.count() == spread.postings.count()
 
 
 def test_large_batches_are_joined_by_shuffle(spark, ws, monkeypatch):
     flat = skewed(spark)
-    index = build_index(flat, flat.select("doc_id", F.lit(1).alias("doc_len")), ws.fresh("hits"), "x", 0)
+    root = ws.fresh("hits")
+    write_statistics(flat.select("doc_id", F.lit(1).alias("doc_len")), root, "body")
+    index = build_index(flat, root, "x", "body", 0)
     queries = spark.createDataFrame([(1, "hot"), (2, "t1"), (2, "zzz")], "query_id BIGINT, term STRING")
     small = search.hits(index, TermTable(queries))
     assert "BroadcastHashJoin" in plan_of(small)
