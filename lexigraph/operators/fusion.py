@@ -22,6 +22,10 @@ NOTEBOOK = {"title": 7 / 16, "body": 1 / 16}
 SEARCH_RESULTS = 30
 NOTEBOOK_RESULTS = 100
 
+# Sums of sixteenths end on the digit that rounding to six places cuts at; ten places do
+# not meet them, and sums of numbers below one are still far more exact than that.
+FUSED_DIGITS = 10
+
 
 @dataclass(frozen=True)
 class SearchIndexes:
@@ -114,7 +118,7 @@ def search(
             *_gram_parts(ix, batch, use_body_score),
         ]
     )
-    return attach_titles(top_k(fused, k), titles, batch.n_queries * k)
+    return attach_titles(top_k(fused, k, digits=FUSED_DIGITS), titles, batch.n_queries * k)
 
 
 def _with_route(scored: DataFrame, route: DataFrame, batch: S.QueryBatch) -> DataFrame:
@@ -142,4 +146,4 @@ def fuse_notebook(
             weighted(S.cosine(body, batch, normalize=False), NOTEBOOK["body"]),
         ]
     )
-    return attach_titles(top_k(fused, k), titles, batch.n_queries * k)
+    return attach_titles(top_k(fused, k, digits=FUSED_DIGITS), titles, batch.n_queries * k)

@@ -107,10 +107,12 @@ def query(build: Callable[[Tables], DataFrame]):
     return build
 
 
-def _round(df: DataFrame, *columns: str) -> DataFrame:
-    for c in columns:
-        df = df.withColumn(c, F.round(c, DIGITS))
-    return df
+def _round(df: DataFrame, *columns: str, digits: int = DIGITS) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+def _fused(df: DataFrame) -> DataFrame:
+    return _round(df, "score", digits=fusion.FUSED_DIGITS)
 
 
 def _ranked(df: DataFrame) -> DataFrame:
@@ -400,17 +402,17 @@ def minmax_keep(t: Tables) -> DataFrame:
 
 @query
 def fuse_one_word(t: Tables) -> DataFrame:
-    return _round(fusion.fuse_one_word(t.indexes.for_search, t.batch), "score")
+    return _fused(fusion.fuse_one_word(t.indexes.for_search, t.batch))
 
 
 @query
 def fuse_base(t: Tables) -> DataFrame:
-    return _round(fusion.fuse_base(t.indexes.for_search, t.batch), "score")
+    return _fused(fusion.fuse_base(t.indexes.for_search, t.batch))
 
 
 @query
 def fuse_multi_word(t: Tables) -> DataFrame:
-    return _round(fusion.fuse_multi_word(t.indexes.for_search, t.batch), "score")
+    return _fused(fusion.fuse_multi_word(t.indexes.for_search, t.batch))
 
 
 @query
@@ -419,13 +421,12 @@ def fuse_notebook(t: Tables) -> DataFrame:
     found = fusion.fuse_notebook(
         set_.index("title"), set_.index("body"), t.batch, t.corpus.titles()
     )
-    return _round(found, "score")
+    return _fused(found)
 
 
 @query
 def search_results(t: Tables) -> DataFrame:
-    found = fusion.search(t.indexes.for_search, t.batch, t.corpus.titles())
-    return _round(found, "score")
+    return _fused(fusion.search(t.indexes.for_search, t.batch, t.corpus.titles()))
 
 
 QUERIES["search"] = QUERIES.pop("search_results")

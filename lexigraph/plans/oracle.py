@@ -337,10 +337,10 @@ cte(
 # Result lists: <list>_raw(query_id, doc_id, score), <list>(..., rank), scaled <list>_mm
 
 
-def cut(source: str, k: int, by: str = "score") -> str:
+def cut(source: str, k: int, by: str = "score", digits: int = 6) -> str:
     return f"""
     SELECT * FROM (
-      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round({by}, 6) DESC, doc_id) AS INTEGER) AS rank
+      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round({by}, {digits}) DESC, doc_id) AS INTEGER) AS rank
       FROM {source}) WHERE rank <= {k}"""
 
 
@@ -519,7 +519,7 @@ fused(
     ("dot_title", times(fusion.NOTEBOOK["title"])),
     ("dot_body", times(fusion.NOTEBOOK["body"])),
 )
-cte("f_notebook", cut("f_notebook_raw", fusion.NOTEBOOK_RESULTS), "f_notebook_raw")
+cte("f_notebook", cut("f_notebook_raw", fusion.NOTEBOOK_RESULTS, digits=fusion.FUSED_DIGITS), "f_notebook_raw")
 cte(
     "search_scores",
     """
@@ -529,7 +529,7 @@ cte(
     SELECT query_id, doc_id, score FROM f_multi JOIN q_info USING (query_id) WHERE n_tokens > 1""",
     "f_one", "f_multi", "q_info",
 )
-cte("found", cut("search_scores", fusion.SEARCH_RESULTS), "search_scores")
+cte("found", cut("search_scores", fusion.SEARCH_RESULTS, digits=fusion.FUSED_DIGITS), "search_scores")
 
 
 # Links
@@ -616,12 +616,14 @@ def _scored(name: str) -> str:
 
 
 def _fused(name: str) -> str:
-    return sql_of(f"SELECT query_id, doc_id, round(score, 6) AS score FROM {name}", name)
+    rounded = f"round(score, {fusion.FUSED_DIGITS}) AS score"
+    return sql_of(f"SELECT query_id, doc_id, {rounded} FROM {name}", name)
 
 
 def _titled(name: str) -> str:
     return sql_of(
-        f"""SELECT query_id, rank, CAST(doc_id AS VARCHAR) AS doc_id, title, round(score, 6) AS score
+        f"""SELECT query_id, rank, CAST(doc_id AS VARCHAR) AS doc_id, title,
+          round(score, {fusion.FUSED_DIGITS}) AS score
         FROM {name} JOIN docs ON id = doc_id""",
         name,
         "docs",

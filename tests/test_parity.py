@@ -22,7 +22,7 @@ def duck():
 
 def plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 6) + 0.0
+        return None if math.isnan(value) else round(value, 10) + 0.0
     return value
 
 

@@ -184,7 +184,7 @@ def test_fusion_and_routing(corpus, indexes, batch):
     base = {r["doc_id"]: r["score"] for r in fusion.fuse_base(indexes.for_search, batch).filter("query_id = 1").collect()}
     grams = dict(of(search.body_grams(indexes.index("body_grams"), batch), 1))
     expected = {d: s / 10 + (0.1 if d in grams else 0.0) for d, s in base.items()}
-    assert of(got, 1) == sorted(expected.items(), key=lambda x: (-round(x[1], 6), x[0]))
+    assert of(got, 1) == sorted(expected.items(), key=lambda x: (-round(x[1], fusion.FUSED_DIGITS), x[0]))
 
 
 def test_both_fusions_equal_the_routed_search(corpus, indexes, batch):
