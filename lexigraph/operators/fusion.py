@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,13 +13,14 @@ from . import search as S
 from .index import Index
 from .ranking import top_k
 
-# The fusion weights of the reference.
-ONE_WORD = {"title": 10 / 20, "anchor": 10 / 20}
-BASE = {"title": 7 / 16, "body": 1 / 16, "anchor": 7 / 16}
-BASE_SHARE = 1 / 10
-TITLE_GRAM_SHARE = 9 / 10
-BODY_GRAM_BONUS = 1 / 10
-NOTEBOOK = {"title": 7 / 16, "body": 1 / 16}
+# The fusion weights of the reference, as numerator and denominator. A score
+# is multiplied and then divided, as there, which rounds differently from one factor.
+ONE_WORD = {"title": (10, 20), "anchor": (10, 20)}
+BASE = {"title": (7, 16), "body": (1, 16), "anchor": (7, 16)}
+BASE_SHARE = (1, 10)
+TITLE_GRAM_SHARE = (9, 10)
+BODY_GRAM_BONUS = (1, 10)
+NOTEBOOK = {"title": (7, 16), "body": (1, 16)}
 SEARCH_RESULTS = 30
 NOTEBOOK_RESULTS = 100
 
@@ -37,17 +39,27 @@ class SearchIndexes:
     anchor: Index
 
 
-def weighted(scored: DataFrame, weight: Column | float) -> DataFrame:
-    weight = weight if isinstance(weight, Column) else F.lit(weight)
-    return scored.select("query_id", "doc_id", (F.col("score") * weight).alias("part"))
+def times(score: Column, weight: tuple[int, int]) -> Column:
+    return score * weight[0] / weight[1]
+
+
+def weighted(scored: DataFrame, weight: tuple[int, int]) -> DataFrame:
+    return scored.select("query_id", "doc_id", times(F.col("score"), weight).alias("part"))
 
 
 def fuse(lists: Sequence[DataFrame]) -> DataFrame:
-    """Sum of already weighted lists; a document missing from a list adds nothing."""
-    out = lists[0]
-    for part in lists[1:]:
-        out = out.unionByName(part)
-    return out.groupBy("query_id", "doc_id").agg(F.sum("part").alias("score"))
+    """Sum of already weighted lists; a document missing from a list adds nothing.
+
+    A list has a document once per query. The lists are added in the order given, so the
+    sum does not depend on which row a shuffle delivers first.
+    """
+    tagged = [part.withColumn("list", F.lit(i)) for i, part in enumerate(lists)]
+    parts = [
+        F.coalesce(F.sum(F.when(F.col("list") == i, F.col("part"))), F.lit(0.0))
+        for i in range(len(lists))
+    ]
+    rows = reduce(DataFrame.unionByName, tagged)
+    return rows.groupBy("query_id", "doc_id").agg(reduce(Column.__add__, parts).alias("score"))
 
 
 def fuse_one_word(ix: SearchIndexes, batch: S.QueryBatch) -> DataFrame:
@@ -104,20 +116,23 @@ def search(
     route = batch.info.select("query_id", "n_tokens")
     one = F.col("n_tokens") == 1
 
-    def routed(scored: DataFrame, kind: str) -> DataFrame:
-        weight = F.when(one, F.lit(ONE_WORD[kind])).otherwise(F.lit(BASE[kind] * BASE_SHARE))
-        return weighted(_with_route(scored, route, batch), weight)
+    def routed(scored: DataFrame, several: tuple[int, int], alone: tuple[int, int]) -> DataFrame:
+        score = F.col("score")
+        part = F.when(one, times(score, alone)).otherwise(times(score, several))
+        return _with_route(scored, route, batch).select("query_id", "doc_id", part.alias("part"))
 
     # A one-token query has no grams; its body list is dropped before scoring.
-    several = S.TermTable(batch.terms.rows.filter(F.col("n_tokens") > 1))
-    fused = fuse(
+    multi = S.TermTable(batch.terms.rows.filter(F.col("n_tokens") > 1))
+    base = fuse(
         [
-            routed(S.title_coverage(ix.title, batch), "title"),
-            routed(S.anchor_count(ix.anchor, batch), "anchor"),
-            weighted(S.bm25(ix.body, batch, queries=several), BASE["body"] * BASE_SHARE),
-            *_gram_parts(ix, batch, use_body_score),
+            routed(S.title_coverage(ix.title, batch), BASE["title"], ONE_WORD["title"]),
+            weighted(S.bm25(ix.body, batch, queries=multi), BASE["body"]),
+            routed(S.anchor_count(ix.anchor, batch), BASE["anchor"], ONE_WORD["anchor"]),
         ]
     )
+    fused = fuse(
+        [routed(base, BASE_SHARE, (1, 1)), *_gram_parts(ix, batch, use_body_score)]
+    )
     return attach_titles(top_k(fused, k, digits=FUSED_DIGITS), titles, batch.n_queries * k)
 
 

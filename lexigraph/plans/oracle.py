@@ -483,18 +483,23 @@ cte(
 
 
 def fused(name: str, *weighted: tuple[str, str]) -> None:
+    """A full outer sum, added in the order given."""
     parts = " UNION ALL ".join(
-        f"SELECT query_id, doc_id, {score} AS part FROM {source}" for source, score in weighted
+        f"SELECT query_id, doc_id, {i} AS list, {score} AS part FROM {source}"
+        for i, (source, score) in enumerate(weighted)
+    )
+    total = " + ".join(
+        f"coalesce(max(part) FILTER (WHERE list = {i}), 0)" for i in range(len(weighted))
     )
     cte(
         name,
-        f"SELECT query_id, doc_id, sum(part) AS score FROM ({parts}) GROUP BY query_id, doc_id",
+        f"SELECT query_id, doc_id, {total} AS score FROM ({parts}) GROUP BY query_id, doc_id",
         *(source for source, _ in weighted),
     )
 
 
-def times(weight: float) -> str:
-    return f"score * CAST({weight!r} AS DOUBLE)"
+def times(weight: tuple[int, int]) -> str:
+    return f"score * {weight[0]} / {weight[1]}"
 
 
 fused(
@@ -512,7 +517,7 @@ fused(
     "f_multi",
     ("f_base", times(fusion.BASE_SHARE)),
     ("title_jac_mm", times(fusion.TITLE_GRAM_SHARE)),
-    ("body_2_mm", f"CAST({fusion.BODY_GRAM_BONUS!r} AS DOUBLE)"),
+    ("body_2_mm", "1 / 10"),
 )
 fused(
     "f_notebook_raw",
