@@ -10,6 +10,7 @@ def local_session(cpus: int = 8, memory: str = "12g") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("lexigraph")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
