@@ -84,7 +84,7 @@ placed AS (
          replace(replace(text, '\', '\\'), '<|', '<\|') AS etext,
          row_number() OVER w AS pos, count(*) OVER (PARTITION BY conv_id) AS n
   FROM own WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
-laid AS (SELECT *, length(erole) + length(etext) + 19 AS chars FROM placed),
+laid AS (SELECT *, length(erole) + length(etext) + 17 AS chars FROM placed),
 ended AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY pos) AS stop FROM laid)
 SELECT conv_id, count(*)::BIGINT AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
@@ -101,7 +101,7 @@ def _license_sql() -> str:
     parts = ",\n".join(
         rf"""regexp_replace(',' || array_to_string(list_transform(
       string_split(regexp_replace(regexp_replace(lower(coalesce(text, '')), '{ends}', chr(1), 'g'), '[^a-z0-9.\x01]+', ' ', 'g'), chr(1)),
-      s -> coalesce(list_position({known}, trim(s, ' .')), 0)), ',') || ',', '(,0)+,', ',0,', 'g') AS {name}"""
+      lambda s: coalesce(list_position({known}, trim(s, ' .')), 0)), ',') || ',', '(,0)+,', ',0,', 'g') AS {name}"""
         for name, ends in cuts.items()
     )
     steps, last = [f"r0 AS (SELECT doc_id, l, f, l || '0' || f AS seq, []::VARCHAR[] AS names FROM cut)"], 0
@@ -113,7 +113,7 @@ def _license_sql() -> str:
         )
         last = k
     rules = ",\n".join(steps)
-    unique = "list_filter(names, (x, i) -> list_position(names, x) = i)"
+    unique = "list_filter(names, lambda x, i: list_position(names, x) = i)"
     count = "len(regexp_extract_all({}, '[1-9][0-9]*'))"
     return f"""WITH cut AS (SELECT doc_id, {parts} FROM documents),
 {rules}
