@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -62,3 +63,15 @@ def running_sums(rows: DataFrame, order: list[Column], sums: dict[str, str], wor
         )
         .drop("__part", *keys, *(f"__t_{n}" for n in sums))
     )
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 256):
+    """Sends texts to Python in batches of so many rows; holds for actions within the block."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

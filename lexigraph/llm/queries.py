@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, licenses, mixing
+from . import chat, exact_dedup, licenses, mixing, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     own = spark.createDataFrame(
@@ -39,7 +44,7 @@ def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_exact_dedup, op5_mixing, op8_chat, op9_licenses)
+    q.__name__: q for q in (op2_exact_dedup, op5_mixing, op6_simhash, op8_chat, op9_licenses)
 }
 
 SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT"
