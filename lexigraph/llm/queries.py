@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, licenses, mixing, simhash
+from . import chat, exact_dedup, language, licenses, mixing, simhash
+from .common import small_batches, space
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +20,17 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    samples = language.fit(docs, ~language.held_out())
+    found = language.identify(docs.select("doc_id", "text"), samples)
+    # Written while the batches are small: a batch of very long texts would be large.
+    with small_batches(spark):
+        return space(spark, "language").write(
+            found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rate"), "predicted"
+        )
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.mixing_plan(table(spark, folder, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -44,7 +56,7 @@ def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_exact_dedup, op5_mixing, op6_simhash, op8_chat, op9_licenses)
+    q.__name__: q for q in (op2_exact_dedup, op4_language, op5_mixing, op6_simhash, op8_chat, op9_licenses)
 }
 
 SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT"
