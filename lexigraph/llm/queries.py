@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, language, licenses, mixing, simhash
-from .common import small_batches, space
+from . import chat, exact_dedup, language, licenses, mixing, simhash, token_store
+from .common import scratch, small_batches, space
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,6 +20,17 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_token_store(spark: SparkSession, folder: str, tokenizer: str | None = None) -> DataFrame:
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    path = scratch(spark, "token_store")
+    token_store.write_store(table(spark, folder, "documents"), tokenizer, path)
+    with small_batches(spark, 1):
+        return space(spark, "token_store").write(token_store.read_store(spark, path), "read")
+
+
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     samples = language.fit(docs, ~language.held_out())
@@ -56,7 +67,7 @@ def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_exact_dedup, op4_language, op5_mixing, op6_simhash, op8_chat, op9_licenses)
+    q.__name__: q for q in (op2_exact_dedup, op3_token_store, op4_language, op5_mixing, op6_simhash, op8_chat, op9_licenses)
 }
 
 SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT"
