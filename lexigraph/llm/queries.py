@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, language, licenses, mixing, simhash, token_store
+from . import chat, exact_dedup, language, licenses, mixing, piece_fst, simhash, token_store, vector_dedup
 from .common import scratch, small_batches, space
 
 
@@ -52,6 +52,10 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     own = spark.createDataFrame(
@@ -66,8 +70,16 @@ def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), "license_sentences")
 
 
+def op10_sentencepiece(spark: SparkSession, folder: str, model: str | None = None) -> DataFrame:
+    if model is None:
+        import public_tokenizers
+
+        model = public_tokenizers.path("piece_bpe_32k.model")
+    return piece_fst.round_trip(table(spark, folder, "documents"), model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_exact_dedup, op3_token_store, op4_language, op5_mixing, op6_simhash, op8_chat, op9_licenses)
+    q.__name__: q for q in (op2_exact_dedup, op3_token_store, op4_language, op5_mixing, op6_simhash, op7_vector_dedup, op8_chat, op9_licenses, op10_sentencepiece)
 }
 
 SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT"
