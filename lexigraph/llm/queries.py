@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, language, licenses, mixing, piece_fst, simhash, token_store, vector_dedup
+from . import chat, exact_dedup, language, licenses, mixing, piece_fst, simhash, surrogates, token_store, vector_dedup
 from .common import scratch, small_batches, space
 
 
@@ -15,6 +15,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_surrogates(spark: SparkSession, folder: str, key: bytes = b"a secret of the deployment") -> DataFrame:
+    done = surrogates.replace_entities(table(spark, folder, "documents"), key)
+    return done.select("doc_id", "text", "entities", F.array_join("kinds", ",").alias("kinds"))
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     decided = exact_dedup.exact_dedup(table(spark, folder, "documents"), F.col("_metadata.file_path"))
     return decided.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -79,7 +84,7 @@ def op10_sentencepiece(spark: SparkSession, folder: str, model: str | None = Non
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_exact_dedup, op3_token_store, op4_language, op5_mixing, op6_simhash, op7_vector_dedup, op8_chat, op9_licenses, op10_sentencepiece)
+    q.__name__: q for q in (op1_surrogates, op2_exact_dedup, op3_token_store, op4_language, op5_mixing, op6_simhash, op7_vector_dedup, op8_chat, op9_licenses, op10_sentencepiece)
 }
 
 SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT"
