@@ -196,7 +196,7 @@ def links(fps: DataFrame, radius: int = RADIUS, most: int = BUCKET, work=None) -
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, most: int = BUCKET) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row of ``docs``.
+    """``doc_id, text_key, fp, component_id`` for every row of ``docs``; the key is a text's hash.
 
     The component's identifier is the smallest ``doc_id`` reachable by links, null only if no
     document of the component has one. Null and empty texts have fingerprint 0 and link like
@@ -205,7 +205,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     work = space(docs.sparkSession, "simhash")
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     with small_batches(docs.sparkSession):
-        prints = work.write(with_fingerprints(own, shingle=shingle).select("doc_id", "fp"), "fingerprints")
+        prints = with_fingerprints(own, shingle=shingle).select("doc_id", F.xxhash64("text").alias("text_key"), "fp")
+        prints = work.write(prints, "fingerprints")
     nodes = work.write(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "distinct")
     roots = components(links(nodes, radius, most, work), work).withColumnRenamed("node", "fp")
     placed = work.write(
@@ -214,7 +215,9 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("n").alias("n"))
     classes = spread_join(placed.drop("n"), least.drop("n"), "root", "fp", hot_keys(placed.groupBy("root").agg(F.count("*").alias("n")), "root", "n"))
     classes = work.write(classes.select("fp", "component_id"), "classes")
-    return spread_join(prints, classes, "fp", "doc_id", hot_keys(nodes, "fp", "n")).select("doc_id", "fp", "component_id")
+    return spread_join(prints, classes, "fp", "doc_id", hot_keys(nodes, "fp", "n")).select(
+        "doc_id", "text_key", "fp", "component_id"
+    )
 
 
 def keep_one(docs: DataFrame, **parameters) -> DataFrame:
@@ -223,5 +226,8 @@ def keep_one(docs: DataFrame, **parameters) -> DataFrame:
     Documents without an identifier stay only if their component has none with one.
     """
     found = near_duplicates(docs, **parameters)
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(first, docs["doc_id"].cast("bigint").eqNullSafe(first["__id"]), "left_semi")
+    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")
+    )
+    same = docs["doc_id"].cast("bigint").eqNullSafe(first["__id"]) & (F.xxhash64(text_or_empty(docs["text"])) == first["__key"])
+    return docs.join(first, same, "left_semi")

@@ -1,8 +1,8 @@
 """Keyed, type-consistent surrogates for personal data.
 
 Detected: e-mail addresses, phone numbers, IPv4 addresses, payment card and account numbers
-(13 to 19 digits), IBANs, US social security numbers, hexadecimal secrets, and persons named
-with a title or a known given name. Every mention has a kind and a canonical form that its
+(13 to 19 digits), IBANs, US social security numbers, access keys, hexadecimal and assigned
+secrets, and persons named with a title or a known given name. Every mention has a kind and a canonical form that its
 spellings share: the digits of a number, an address in lower case, each part of a name. A
 surrogate is drawn from a keyed hash of kind and canonical form, so that equal entities get
 equal surrogates in all documents and in every run with the same key, and is written in
@@ -61,6 +61,10 @@ EMAIL = re.compile(r"(?<![\w.+%-])[\w+%-]+(?:\.[\w+%-]+)*@(?:[^\W_](?:[\w-]*[^\W
 IPV4 = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\w|\.\d)")
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 SECRET = re.compile(r"(?<!\w)(?=[a-fA-F]*\d)(?=\d*[a-fA-F])[0-9a-fA-F]{24,}(?!\w)")
+ACCESS_KEY = re.compile(r"(?<!\w)(?:AKIA|ASIA)[0-9A-Z]{16}(?!\w)")
+# What a password, token or key is introduced by.
+ASSIGNED = ("password", "passwd", "pwd", "secret", "token", "api_key", "api-key", "apikey")
+PASSWORD = re.compile(r"(?i)(?<![^\W_])(?:" + "|".join(ASSIGNED) + r")[\"']?[ \t]*[=:][ \t]*[\"']?([\w/+=-]{6,})")
 CARD = re.compile(r"(?<![\w+])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{5})(?!\w)")
 SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
 PHONE = re.compile(
@@ -113,15 +117,17 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
     if "@" in text:
         found += [(*m.span(), "email", m[0].lower()) for m in EMAIL.finditer(text)]
     if re.search(r"\d", text):
-        for kind, pattern in (("ipv4", IPV4), ("iban", IBAN), ("secret", SECRET), ("card", CARD), ("ssn", SSN), ("phone", PHONE)):
+        for kind, pattern in (("ipv4", IPV4), ("iban", IBAN), ("secret", SECRET), ("key", ACCESS_KEY), ("card", CARD), ("ssn", SSN), ("phone", PHONE)):
             for m in pattern.finditer(text):
                 plain = re.sub(r"[^0-9A-Za-z]", "", m[0])
                 if kind == "ipv4":
                     plain = m[0]
-                elif kind == "secret":
-                    plain = plain.lower()
+                elif kind in ("secret", "key"):
+                    plain = m[0].lower() if kind == "secret" else m[0]
                 elif kind == "iban" and iban_check(plain[:2], plain[4:]) != plain[2:4]:
                     continue
+                elif kind == "card" and len(plain) < len(m[0]) and luhn(plain[:-1]) != int(plain[-1]):
+                    continue  # groups of four digits may be years
                 elif kind == "phone" and len(plain) < 9:
                     continue
                 elif kind == "phone" and m[0][0] == "+":
@@ -130,6 +136,9 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
                     found.append((*m.span(), kind_here, plain))
                     continue
                 found.append((*m.span(), kind, plain))
+    low = text.lower()
+    if any(word in low for word in ASSIGNED):
+        found += [(*m.span(1), "password", m[1]) for m in PASSWORD.finditer(text)]
     found += _names(text)
     kept: list[tuple[int, int, str, str]] = []
     taken: list[tuple[int, int]] = []
@@ -160,9 +169,11 @@ class Stream:
 
     def like(self, text: str, hexadecimal: bool = False) -> str:
         letters = "abcdef" if hexadecimal else "abcdefghijklmnopqrstuvwxyz"
-        return "".join(
-            str(self.below(10)) if c.isdecimal() else letters[self.below(len(letters))] if c.isalpha() else c for c in text
-        )
+        out = []
+        for c in text:
+            drawn = str(self.below(10)) if c.isdecimal() else letters[self.below(len(letters))] if c.isalpha() else c
+            out.append(drawn.upper() if c.isupper() else drawn)
+        return "".join(out)
 
 
 @lru_cache(100_000)
@@ -193,6 +204,8 @@ def _draw(stream: Stream, key: bytes, kind: str, text: str, more: int) -> str:
         return text[:2] + iban_check(text[:2], body) + body
     if kind == "secret":
         return stream.like(text + "a" * more, hexadecimal=True)
+    if kind == "key":
+        return text[:4] + stream.like(text[4:] + "A" * more)
     if kind == "card":
         body = text[0] + stream.like(text[1:-1] + "0" * more)
         return body + (str(luhn(body)) if luhn(text[:-1]) == int(text[-1]) else stream.like("0"))
@@ -222,6 +235,8 @@ def written(kind: str, surface: str, made: str) -> str:
         if len(surface) > 1 and surface.isupper():
             return made.upper()
         return "-".join(p[:1].upper() + p[1:] for p in made.split("-"))
+    if kind in ("key", "password"):
+        return made
     if kind in ("email", "ipv4"):
         upper = surface.isupper()
         if upper or len(made) != len(surface):
