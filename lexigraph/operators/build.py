@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import tokens
 from ..sources.corpus import Corpus
 from ..workspace import Workspace
-from .analyze import QUERY, forward_rows, merge_pieces, spread
+from .analyze import INDEX, QUERY, Profile, forward_rows, merge_pieces, spread
 from .fusion import SearchIndexes
 from .index import Index, build_index, flatten, squared_norms, write_statistics
 
@@ -27,8 +27,8 @@ LAYOUT = {
     "anchor_words": ("anchor", "words", ()),
 }
 
-# The reference indexes body terms and body grams found in more than 20
-# documents and title grams found in any; anchors and titles are small here, so any too.
+# Body terms and grams of more than 20 documents are indexed, title grams and anchors of any.
+# An index of titles over the same threshold is built with ``index("title", 20)``.
 MIN_DF = {"body": 20, "body_grams": 20, "body_words": 20}
 
 
@@ -39,7 +39,16 @@ class IndexSet:
     counts of every kind; the inverted indexes are made from that table.
     """
 
-    def __init__(self, corpus: Corpus, workspace: Workspace, min_df: dict[str, int] | None = None):
+    def __init__(
+        self,
+        corpus: Corpus,
+        workspace: Workspace,
+        min_df: dict[str, int] | None = None,
+        profile: Profile = INDEX,
+        query_profile: Profile = QUERY,
+    ):
+        self.profile = profile
+        self.query_profile = query_profile
         self.corpus = corpus
         self.workspace = workspace
         self.min_df = MIN_DF if min_df is None else min_df
@@ -56,7 +65,7 @@ class IndexSet:
         if component == "title":
             docs = (
                 docs.withColumn("raw_words", F.expr(tokens.raw_word_count("text")))
-                .withColumn("_query_words", F.expr(QUERY.words("text")))
+                .withColumn("_query_words", F.expr(self.query_profile.words("text")))
                 .withColumn("_query_grams", F.array_distinct(F.expr(tokens.grams("_query_words"))))
                 .withColumn("n_title_grams", F.size("_query_grams"))
                 .withColumn(
@@ -65,7 +74,7 @@ class IndexSet:
                 )
                 .drop("_query_words", "_query_grams")
             )
-        rows = forward_rows(docs).drop("text")
+        rows = forward_rows(docs, self.profile).drop("text")
         stored = self.workspace.write(rows, f"forward/{component}")
         if component == "anchor":
             ids = self.corpus.docs.select(F.col("id").alias("doc_id"))

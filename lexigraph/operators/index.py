@@ -32,6 +32,8 @@ class Index:
     doc_stats: DataFrame
     corpus_stats: DataFrame
     min_df: int = 0
+    # Document lengths of another build, joined to the postings of query terms only.
+    other_lengths: DataFrame | None = None
 
     @cached_property
     def _corpus(self):
@@ -54,9 +56,12 @@ class Index:
 
     def with_stats_of(self, other: Index) -> Index:
         """The same postings with the document lengths and size of another build."""
-        postings = self.postings.drop("doc_len").join(other.doc_stats, "doc_id")
         return replace(
-            self, postings=postings, doc_stats=other.doc_stats, corpus_stats=other.corpus_stats
+            self,
+            postings=self.postings.drop("doc_len"),
+            doc_stats=other.doc_stats,
+            corpus_stats=other.corpus_stats,
+            other_lengths=other.doc_stats.select("doc_id", "doc_len"),
         )
 
 
@@ -113,11 +118,13 @@ def build_index(
     kept = stats.filter(F.col("df") > min_df).select("term", "df")
     hot = hot_keys(kept, "term", "df", rows_per_task)
     others = [c for c in flat.columns if c not in ("term", "doc_id", "tf")]
+    n_rows = kept.agg(F.sum("df")).first()[0] or 0
+    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // rows_per_task))
     (
         spread_join(flat, kept, "term", "doc_id", hot)
         .select("term", "doc_id", "tf", "df", *others)
         # By term and document: the postings of one frequent term fill several files.
-        .repartitionByRange("term", "doc_id")
+        .repartitionByRange(n_parts, "term", "doc_id")
         .sortWithinPartitions("term", "doc_id")
         .write.mode("overwrite")
         .parquet(table_path(root, "postings", name))
@@ -153,15 +160,14 @@ def lookup(index: Index, term: str) -> DataFrame:
     return index.postings.filter(F.col("term") == term).select("doc_id", "tf").orderBy("doc_id")
 
 
-def posting_lists(postings: DataFrame, docs_per_list: int = 100_000) -> DataFrame:
-    """``(term, part, postings)`` with each list in document order.
+def posting_lists(postings: DataFrame, ids_per_part: int = 100_000) -> DataFrame:
+    """``(term, part, postings)``; a term's parts, in order, are its list in document order.
 
-    The list of a frequent term comes in parts of about ``docs_per_list`` entries, divided
-    by the hash of the document, so that no group grows with the corpus.
+    A part holds the documents of one range of ids, ``part * ids_per_part`` and up, so that no
+    group grows with the corpus.
     """
-    parts = F.ceil(F.col("df") / docs_per_list)
     return (
-        postings.withColumn("part", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
+        postings.withColumn("part", F.floor(F.col("doc_id") / ids_per_part).cast("bigint"))
         .groupBy("term", "part")
         .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
     )

@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 from ..functions import tokens
 from ..functions.scores import BM25_B, BM25_K, bm25_part, ratio
 from ..workspace import Workspace
-from .analyze import QUERY, UNSTEMMED, counts
+from .analyze import QUERY, UNSTEMMED, Profile, counts
 from .index import Index, squared_norms
 from .ranking import min_max_normalize, rank_all, top_k
 from .skew import hot_keys, spread_join
 
-# A query-term row is bounded: two tokens of at most 25 characters and a few numbers, so
-# this many rows stay near 100 MB. Larger batches are joined by a shuffle instead.
-BROADCAST_ROWS = 500_000
+# A query-term row is bounded: two tokens of at most 49 characters of four bytes, joiners
+# included, and a few numbers, 450 bytes in all. Larger batches are joined by a shuffle.
+BROADCAST_BYTES = 100_000_000
+BROADCAST_ROWS = BROADCAST_BYTES // 450
 # Up to this many distinct terms are sent to the Parquet scan as an IN filter.
 PUSHDOWN_TERMS = 10
 
@@ -48,13 +49,16 @@ class QueryBatch:
     ``words``  unstemmed words that contract searches look up
     """
 
-    def __init__(self, queries: DataFrame, workspace: Workspace, name: str = "batch"):
+    def __init__(
+        self, queries: DataFrame, workspace: Workspace, name: str = "batch", profile: Profile = QUERY
+    ):
         self.workspace = workspace
         self.name = name
+        self.profile = profile
         stored = workspace.write(
             counts(
                 queries.filter(F.char_length("query") > 0)
-                .withColumn("terms", F.expr(QUERY.words("query")))
+                .withColumn("terms", F.expr(profile.words("query")))
                 .withColumn("words", F.expr(UNSTEMMED.indexed(UNSTEMMED.words("query"))))
                 .select(
                     "query_id",
@@ -111,7 +115,7 @@ class QueryBatch:
         rows = self.analyzed.select(
             "query_id",
             "n_chars",
-            F.filter("terms", lambda t: ~t["term"].isin(list(QUERY.index_stop_words))).alias("terms"),
+            F.filter("terms", lambda t: ~t["term"].isin(list(self.profile.index_stop_words))).alias("terms"),
         )
         squares = F.aggregate(
             F.transform("terms", lambda t: t["tf"].cast("bigint") * t["tf"]),
@@ -132,9 +136,11 @@ def hits(index: Index, queries: TermTable) -> DataFrame:
     if queries.few_terms is not None:
         postings = postings.filter(F.col("term").isin(queries.few_terms))
     if queries.size <= BROADCAST_ROWS:
-        return postings.join(F.broadcast(queries.rows), "term")
-    hot = hot_keys(index.kept_terms(), "term", "df")
-    return spread_join(postings, queries.rows, "term", "doc_id", hot)
+        found = postings.join(F.broadcast(queries.rows), "term")
+    else:
+        hot = hot_keys(index.kept_terms(), "term", "df")
+        found = spread_join(postings, queries.rows, "term", "doc_id", hot)
+    return found if index.other_lengths is None else found.join(index.other_lengths, "doc_id")
 
 
 def _sum_scores(parts: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,17 +14,18 @@ from ..functions import tokens
 from ..functions.stem import stem_array
 from ..operators import evaluation, fusion, links, lookup, search
 from ..operators import index as ix
-from ..operators.analyze import INDEX, positions, spread
+from ..operators.analyze import INDEX, QUERY, Profile, positions, spread
 from ..operators.build import IndexSet
-from ..operators.ranking import min_max_normalize, top_k
+from ..operators.ranking import min_max_normalize, rank_all
 from ..operators.search import QueryBatch
+from ..functions.scores import REFERENCE_AVGDL
 from ..sources import corpus as corpora
 from ..sources import pages as page_source
 from ..sources import queries as query_source
 from ..sources.pageviews import monthly_views
 from ..workspace import Workspace
 
-DIGITS = 6
+DIGITS = 9
 VIEW_MONTH = "2024-01-01"
 
 
@@ -43,6 +45,37 @@ class Tables:
     def indexes(self) -> IndexSet:
         return IndexSet(self.corpus, self.workspace)
 
+    @cached_property
+    def extended(self) -> tuple[IndexSet, QueryBatch]:
+        """Indexes and queries stemmed by the extended rules."""
+        index, query = replace(INDEX, extended=True), replace(QUERY, extended=True)
+        queries = query_source.passage_queries(self.benchmark)
+        return (
+            IndexSet(self.corpus, self.workspace, profile=index, query_profile=query),
+            QueryBatch(queries, self.workspace, "extended_batch", query),
+        )
+
+    @cached_property
+    def other_build(self) -> IndexSet:
+        """Bodies and web pages, read with two-letter words and without stop words."""
+        pages = page_source.parse_pages(self.read("pages", schemas.PAGES))
+        more = pages.select((-1 - F.col("page_id")).alias("id"), "title", "text")
+        wider = corpora.Corpus(self.corpus.docs.unionByName(more), self.corpus.links)
+        return IndexSet(wider, self.workspace, profile=Profile(min_chars=2, stop_words=(), index_stop_words=()))
+
+    @cached_property
+    def stored_corpus(self) -> corpora.Corpus:
+        """The corpus as files of several folders, among others that are no part of it."""
+        root = self.workspace.fresh("stored_corpus")
+        nested = corpora.with_anchor_text(self.corpus)
+        for k in range(3):
+            nested.filter(F.pmod("id", F.lit(3)) == k).write.parquet(f"{root}/part_{k}")
+        stray = nested.select((F.col("id") + 1_000_000).alias("id"), "title", "text", "anchor_text")
+        for name in ("stray", "bucket_title", "bucket_body"):
+            stray.write.parquet(f"{root}/{name}")
+        self.benchmark.write.json(f"{root}/notes")
+        return corpora.scan(self.spark, root, "*.parquet", exclude=["stray"], exclude_prefixes=["bucket_"])
+
     @cached_property
     def benchmark(self) -> DataFrame:
         return query_source.read_benchmark(self.spark, self.folder)
@@ -77,9 +110,11 @@ class Tables:
 
     @cached_property
     def ids(self) -> DataFrame:
-        """Every document, in id order, as the list to look values up for."""
+        """A list to look values up for: backwards, every third id again, with unknown ids."""
         ids = self.corpus.docs.select(F.col("id").alias("doc_id"))
-        return ids.withColumn("pos", F.col("doc_id"))
+        again = ids.filter("doc_id % 3 = 0").select("doc_id", (-F.col("doc_id") * 10 + 1).alias("pos"))
+        unknown = ids.select((-7 - F.col("doc_id")).alias("doc_id"), (-F.col("doc_id") * 10 + 2).alias("pos"))
+        return ids.withColumn("pos", -F.col("doc_id") * 10).unionByName(again).unionByName(unknown)
 
     def read(self, table: str, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.folder}/{table}.parquet")
@@ -115,8 +150,8 @@ def _fused(df: DataFrame) -> DataFrame:
     return _round(df, "score", digits=fusion.FUSED_DIGITS)
 
 
-def _ranked(df: DataFrame) -> DataFrame:
-    return _round(df.select("query_id", "doc_id", "rank", "score"), "score")
+def _ranked(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+    return _round(df.select("query_id", "doc_id", "rank", "score"), "score", digits=digits)
 
 
 # Scans, sources, sinks
@@ -124,7 +159,7 @@ def _ranked(df: DataFrame) -> DataFrame:
 
 @query
 def corpus_scan(t: Tables) -> DataFrame:
-    nested = corpora.with_anchor_text(t.corpus)
+    nested = corpora.with_anchor_text(t.stored_corpus)
     anchors = F.transform("anchor_text", lambda a: F.concat_ws(":", a["id"].cast("string"), a["text"]))
     return nested.select(
         "id", "title", "text", F.coalesce(F.array_join(anchors, "|"), F.lit("")).alias("anchors")
@@ -160,9 +195,12 @@ def index_round_trip(t: Tables) -> DataFrame:
 
 @query
 def stats_from_other_build(t: Tables) -> DataFrame:
-    """Body postings scored with the lengths and size of the unstemmed build."""
-    mixed = t.indexes.index("body").with_stats_of(t.indexes.index("body_words"))
-    return _ranked(search.bm25(mixed, t.batch))
+    """Body postings scored with lengths, size and norms of a build of more and longer texts."""
+    other = t.other_build
+    mixed = t.indexes.index("body").with_stats_of(other.index("body"))
+    by_bm25 = _ranked(search.bm25(mixed, t.batch)).withColumn("model", F.lit("bm25"))
+    by_cosine = _ranked(search.cosine(mixed, t.batch, other.norms("body"))).withColumn("model", F.lit("cosine"))
+    return by_bm25.unionByName(by_cosine)
 
 
 # Text
@@ -227,6 +265,12 @@ def bigram_index_title(t: Tables) -> DataFrame:
     return t.indexes.index("title_grams").postings.select("term", "doc_id", "tf", "df")
 
 
+@query
+def title_index_min_df(t: Tables) -> DataFrame:
+    """The title index over the threshold of twenty documents."""
+    return t.indexes.index("title", 20).postings.select("term", "doc_id", "tf", "df", "doc_len")
+
+
 @query
 def bigram_index_body(t: Tables) -> DataFrame:
     return t.indexes.index("body_grams").postings.select("term", "doc_id", "tf", "df")
@@ -323,7 +367,7 @@ def cosine_search(t: Tables) -> DataFrame:
 
 @query
 def cosine_unnormalized(t: Tables) -> DataFrame:
-    return _ranked(search.cosine(t.indexes.index("body"), t.batch, normalize=False))
+    return _ranked(search.cosine(t.indexes.index("body"), t.batch, normalize=False), digits=11)
 
 
 @query
@@ -331,6 +375,18 @@ def bm25_search(t: Tables) -> DataFrame:
     return _ranked(search.bm25(t.indexes.index("body"), t.batch))
 
 
+@query
+def bm25_fixed_avgdl(t: Tables) -> DataFrame:
+    """BM25 with a given mean length instead of the index's own."""
+    return _ranked(search.bm25(t.indexes.index("body"), t.batch, avgdl=REFERENCE_AVGDL))
+
+
+@query
+def bm25_extended_stems(t: Tables) -> DataFrame:
+    indexes, batch = t.extended
+    return _ranked(search.bm25(indexes.index("body"), batch))
+
+
 @query
 def bm25_all_terms(t: Tables) -> DataFrame:
     """BM25 over an index without a document-frequency threshold."""
@@ -378,23 +434,23 @@ def anchor_search_contract(t: Tables) -> DataFrame:
 
 
 def _view_scores(t: Tables) -> DataFrame:
-    """Event types ranked by day, a result list with ties and single rows."""
+    """Keys by day and number of events, result lists with ties and single rows."""
     events = t.read("events", schemas.EVENTS)
     per_day = events.groupBy(
         F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")).cast("bigint").alias("query_id"),
         F.get_json_object("props", "$.k").cast("bigint").alias("doc_id"),
     ).agg(F.count("*").cast("double").alias("score"))
-    return top_k(per_day, 100)
+    return rank_all(per_day, t.workspace, "view_scores").withColumn("rank", F.col("rank").cast("int"))
 
 
 @query
 def minmax_zero(t: Tables) -> DataFrame:
-    return _ranked(min_max_normalize(_view_scores(t)))
+    return _ranked(min_max_normalize(_view_scores(t), cut=False))
 
 
 @query
 def minmax_keep(t: Tables) -> DataFrame:
-    return _ranked(min_max_normalize(_view_scores(t), on_zero_range="keep"))
+    return _ranked(min_max_normalize(_view_scores(t), on_zero_range="keep", cut=False))
 
 
 # Fusion
@@ -432,6 +488,12 @@ def search_results(t: Tables) -> DataFrame:
 QUERIES["search"] = QUERIES.pop("search_results")
 
 
+@query
+def search_extended_stems(t: Tables) -> DataFrame:
+    indexes, batch = t.extended
+    return _fused(fusion.search(indexes.for_search, batch, t.corpus.titles()))
+
+
 # Links
 
 
@@ -450,6 +512,14 @@ def pagerank(t: Tables) -> DataFrame:
     return _round(t.pagerank, "pagerank")
 
 
+@query
+def pagerank_ranked(t: Tables) -> DataFrame:
+    """Pages by descending PageRank."""
+    rows = t.pagerank.select(F.lit(0).alias("query_id"), F.col("id").alias("doc_id"), F.col("pagerank").alias("score"))
+    ranked = rank_all(rows, t.workspace, "pagerank_ranked")
+    return _round(ranked.select("rank", F.col("doc_id").alias("id"), F.col("score").alias("pagerank")), "pagerank")
+
+
 @query
 def pagerank_lookup(t: Tables) -> DataFrame:
     return _round(lookup.pagerank_of(t.ids, t.pagerank), "pagerank")

@@ -6,10 +6,14 @@ aggregates where the Spark side uses arrays.
 
 from __future__ import annotations
 
+import re
+
 from ..functions import stopwords
-from ..operators import fusion
-from .catalog import VIEW_MONTH
-from ..sources.corpus import STUB_CHARS
+
+# Fixed values of the result lists, written here again rather than taken from the engine.
+SEARCH_RESULTS, NOTEBOOK_RESULTS, FUSED_DIGITS = 30, 100, 10
+VIEW_MONTH = "2024-01-01"
+AVGDL = "341.0890174848911::DOUBLE"
 
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {}
 
@@ -175,13 +179,11 @@ cte(
     f"""
     SELECT l.id AS src, t.id AS dst, t.title AS text
     FROM docs l JOIN docs t ON t.id = (l.id * 7 + 3) % (SELECT count(*) FROM documents)
-    WHERE l.n_chars >= {STUB_CHARS}
     UNION ALL
     SELECT l.id, h.id, concat_ws(' ', l.source, h.title)
     FROM docs l
     JOIN (SELECT source, min(id) AS home FROM docs GROUP BY source) m ON l.source = m.source
-    JOIN docs h ON h.id = m.home
-    WHERE l.n_chars >= {STUB_CHARS}""",
+    JOIN docs h ON h.id = m.home""",
     "docs",
 )
 cte("title_field", "SELECT id AS doc_id, title AS text FROM docs", "docs")
@@ -337,10 +339,18 @@ cte(
 # Result lists: <list>_raw(query_id, doc_id, score), <list>(..., rank), scaled <list>_mm
 
 
-def cut(source: str, k: int, by: str = "score", digits: int = 6) -> str:
+def significant(x: str) -> str:
+    """Twelve significant digits."""
+    unit = f"pow(10.0::DOUBLE, floor(log10(abs({x}))))"
+    return f"CASE WHEN {x} = 0 THEN 0.0::DOUBLE ELSE round({x} / {unit}, 11) * {unit} END"
+
+
+def cut(source: str, k: int | None, by: str = "score", digits: int | None = None) -> str:
+    key = significant(by) if digits is None else f"round({by}, {digits})"
+    k = 1 << 60 if k is None else k
     return f"""
     SELECT * FROM (
-      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round({by}, {digits}) DESC, doc_id) AS INTEGER) AS rank
+      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY {key} DESC, doc_id) AS INTEGER) AS rank
       FROM {source}) WHERE rank <= {k}"""
 
 
@@ -349,28 +359,29 @@ def scaled(name: str, zero: str = "0.0") -> None:
         f"{name}_mm",
         f"""
         SELECT * EXCLUDE (score), CASE
-          WHEN round(max(score) OVER w, 6) = round(min(score) OVER w, 6) THEN {zero}
+          WHEN {significant("max(score) OVER w")} = {significant("min(score) OVER w")} THEN {zero}
           ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END AS score
         FROM {name} WINDOW w AS (PARTITION BY query_id)""",
         name,
     )
 
 
-def result_list(name: str, k: int, raw: str, *needs: str) -> None:
+def result_list(name: str, k: int | None, raw: str, *needs: str) -> None:
     cte(f"{name}_raw", raw, *needs)
     cte(name, cut(f"{name}_raw", k), f"{name}_raw")
     scaled(name)
 
 
-def bm25(name: str, post: str, lengths: str) -> None:
+def bm25(name: str, post: str, lengths: str, avgdl: str | None = None, n: str = "", terms: str = "q_terms") -> None:
+    mean, idf = avgdl or f"(SELECT avg(doc_len) FROM {lengths})", f"log2({n} / df)" if n else IDF
     result_list(
         name,
         100,
         f"""
-        SELECT query_id, doc_id, sum(qtf * {IDF} * (tf * 2.5)
-          / (tf + 1.5 * (0.25 + 0.75 * doc_len / (SELECT avg(doc_len) FROM {lengths})))) AS score
-        FROM q_terms JOIN {post} USING (term) JOIN {lengths} USING (doc_id) GROUP BY ALL""",
-        "q_terms",
+        SELECT query_id, doc_id, sum(qtf * {idf} * (tf * 2.5)
+          / (tf + 1.5 * (0.25 + 0.75 * doc_len / {mean}))) AS score
+        FROM {terms} JOIN {post} USING (term) JOIN {lengths} USING (doc_id) GROUP BY ALL""",
+        terms,
         post,
         lengths,
     )
@@ -378,6 +389,55 @@ def bm25(name: str, post: str, lengths: str) -> None:
 
 bm25("bm25", "body_post", "body_len")
 bm25("bm25_all", "body_all_post", "body_len")
+bm25("bm25_fixed", "body_post", "body_len", AVGDL)
+
+# Another build: bodies and pages, words of two letters on, no stop words.
+_PLAIN_TEXT = (
+    "trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace({}, '<[^>]*>', ' ', 'g'), "
+    "'&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), "
+    "'[ \\t\\r\\n]+', ' ', 'g'))"
+)
+cte(
+    "other_field",
+    f"""
+    SELECT doc_id, text FROM documents
+    UNION ALL
+    SELECT -1 - page_id, {_PLAIN_TEXT.format("regexp_extract(html, '(?s)<article>(.*?)</article>', 1)")} FROM pages""",
+)
+cte(
+    "other_tok",
+    f"SELECT doc_id, unnest(regexp_extract_all(lower(text), '{pattern(2)}')) AS term FROM other_field",
+    "other_field",
+)
+stems("other_vocab", "other_tok")
+cte("other_stem", "SELECT doc_id, stem AS term FROM other_tok JOIN other_vocab ON term = word", "other_tok", "other_vocab")
+cte("other_tf", "SELECT doc_id, term, count(*) AS tf FROM other_stem GROUP BY ALL", "other_stem")
+cte("other_df", "SELECT term, count(*) AS df FROM other_tf GROUP BY term HAVING count(*) > 20", "other_tf")
+cte(
+    "other_len",
+    "SELECT f.doc_id, count(s.term) AS doc_len FROM other_field f LEFT JOIN other_stem s USING (doc_id) GROUP BY ALL",
+    "other_field", "other_stem",
+)
+OTHER_N = "(SELECT count(*) FROM other_field)"
+cte(
+    "other_norm",
+    f"""
+    SELECT doc_id, sum(pow(tf / doc_len * log2({OTHER_N} / df), 2)) AS norm2
+    FROM other_tf JOIN other_df USING (term) JOIN other_len USING (doc_id) GROUP BY doc_id""",
+    "other_tf", "other_df", "other_len", "other_field",
+)
+bm25("other_bm25", "body_post", "other_len", n=OTHER_N)
+_WEIGHT = f"log2({OTHER_N} / df)"
+result_list(
+    "other_cosine",
+    100,
+    f"""
+    SELECT query_id, doc_id, CASE WHEN max(square * norm2) > 0
+      THEN sum((qtf / n_chars * {_WEIGHT}) * (tf / doc_len * {_WEIGHT})) / sqrt(max(square * norm2)) ELSE 0 END AS score
+    FROM q_counted JOIN q_chars USING (query_id) JOIN q_square USING (query_id) JOIN body_post USING (term)
+    JOIN other_len USING (doc_id) JOIN other_norm USING (doc_id) GROUP BY query_id, doc_id""",
+    "q_counted", "q_chars", "q_square", "body_post", "other_len", "other_norm",
+)
 cte(
     "cosine_parts",
     f"""
@@ -462,7 +522,7 @@ result_list(
 )
 result_list(
     "view_scores",
-    100,
+    None,
     """
     SELECT date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS query_id,
       CAST(json_extract_string(props, '$.k') AS BIGINT) AS doc_id, CAST(count(*) AS DOUBLE) AS score
@@ -470,9 +530,9 @@ result_list(
 )
 cte(
     "view_scores_keep",
-    """
+    f"""
     SELECT query_id, doc_id, rank, CASE
-      WHEN round(max(score) OVER w, 6) = round(min(score) OVER w, 6) THEN score
+      WHEN {significant("max(score) OVER w")} = {significant("min(score) OVER w")} THEN score
       ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END AS score
     FROM view_scores WINDOW w AS (PARTITION BY query_id)""",
     "view_scores",
@@ -504,27 +564,27 @@ def times(weight: tuple[int, int]) -> str:
 
 fused(
     "f_one",
-    ("title_cov_mm", times(fusion.ONE_WORD["title"])),
-    ("anchor_cnt_mm", times(fusion.ONE_WORD["anchor"])),
+    ("title_cov_mm", times((10, 20))),
+    ("anchor_cnt_mm", times((10, 20))),
 )
 fused(
     "f_base",
-    ("title_cov_mm", times(fusion.BASE["title"])),
-    ("bm25_mm", times(fusion.BASE["body"])),
-    ("anchor_cnt_mm", times(fusion.BASE["anchor"])),
+    ("title_cov_mm", times((7, 16))),
+    ("bm25_mm", times((1, 16))),
+    ("anchor_cnt_mm", times((7, 16))),
 )
 fused(
     "f_multi",
-    ("f_base", times(fusion.BASE_SHARE)),
-    ("title_jac_mm", times(fusion.TITLE_GRAM_SHARE)),
+    ("f_base", times((1, 10))),
+    ("title_jac_mm", times((9, 10))),
     ("body_2_mm", "1 / 10"),
 )
 fused(
     "f_notebook_raw",
-    ("dot_title", times(fusion.NOTEBOOK["title"])),
-    ("dot_body", times(fusion.NOTEBOOK["body"])),
+    ("dot_title", times((7, 16))),
+    ("dot_body", times((1, 16))),
 )
-cte("f_notebook", cut("f_notebook_raw", fusion.NOTEBOOK_RESULTS, digits=fusion.FUSED_DIGITS), "f_notebook_raw")
+cte("f_notebook", cut("f_notebook_raw", NOTEBOOK_RESULTS, digits=FUSED_DIGITS), "f_notebook_raw")
 cte(
     "search_scores",
     """
@@ -534,7 +594,7 @@ cte(
     SELECT query_id, doc_id, score FROM f_multi JOIN q_info USING (query_id) WHERE n_tokens > 1""",
     "f_one", "f_multi", "q_info",
 )
-cte("found", cut("search_scores", fusion.SEARCH_RESULTS, digits=fusion.FUSED_DIGITS), "search_scores")
+cte("found", cut("search_scores", SEARCH_RESULTS, digits=FUSED_DIGITS), "search_scores")
 
 
 # Links
@@ -566,6 +626,16 @@ cte(
 )
 
 
+# Ids to look up: backwards, every third again, with unknown ones.
+cte(
+    "wanted",
+    """
+    SELECT doc_id, -doc_id * 10 AS pos FROM documents
+    UNION ALL SELECT doc_id, -doc_id * 10 + 1 FROM documents WHERE doc_id % 3 = 0
+    UNION ALL SELECT -7 - doc_id, -doc_id * 10 + 2 FROM documents""",
+)
+
+
 # Evaluation
 
 
@@ -616,19 +686,44 @@ cte(
 )
 
 
-def _scored(name: str) -> str:
-    return sql_of(f"SELECT query_id, doc_id, rank, round(score, 6) AS score FROM {name}", name)
+def extended(name: str, stemmed: str = "vocab") -> str:
+    """The same CTE over words stemmed by the extended rules: copies of all it needs."""
+    found: list[str] = []
+
+    def reach(n: str) -> bool:
+        below = [reach(m) for m in CTES[n][1]]
+        changed = any(below) or re.fullmatch(rf"(title|body|anchor|query)_{stemmed}\d", n) is not None
+        if changed and n not in found:
+            found.append(n)
+        return changed
+
+    reach(name)
+    renamed = re.compile(r"\b(" + "|".join(sorted(found, key=len, reverse=True)) + r")\b")
+    for n in found:
+        copy = f"{n}_x"
+        if copy in CTES:
+            continue
+        if re.fullmatch(rf"\w+_{stemmed}\d", n):
+            stems(copy, n.replace(stemmed, "kept"), extended=True)
+        else:
+            sql, needs = CTES[n]
+            cte(copy, renamed.sub(r"\1_x", sql), *(f"{m}_x" if m in found else m for m in needs))
+    return f"{name}_x"
+
+
+def _scored(name: str, digits: int = 9) -> str:
+    return sql_of(f"SELECT query_id, doc_id, rank, round(score, {digits}) AS score FROM {name}", name)
 
 
 def _fused(name: str) -> str:
-    rounded = f"round(score, {fusion.FUSED_DIGITS}) AS score"
+    rounded = f"round(score, {FUSED_DIGITS}) AS score"
     return sql_of(f"SELECT query_id, doc_id, {rounded} FROM {name}", name)
 
 
 def _titled(name: str) -> str:
     return sql_of(
         f"""SELECT query_id, rank, CAST(doc_id AS VARCHAR) AS doc_id, title,
-          round(score, {fusion.FUSED_DIGITS}) AS score
+          round(score, {FUSED_DIGITS}) AS score
         FROM {name} JOIN docs ON id = doc_id""",
         name,
         "docs",
@@ -649,11 +744,6 @@ def _all_of(name: str) -> str:
     return sql_of(f"SELECT * FROM {name}", name)
 
 
-_PLAIN_TEXT = (
-    "trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace({}, '<[^>]*>', ' ', 'g'), "
-    "'&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), "
-    "'[ \\t\\r\\n]+', ' ', 'g'))"
-)
 _LINK = "'(?s)<a href=\"([^\"]*)\"[^>]*>(.*?)</a>'"
 
 
@@ -687,7 +777,12 @@ def queries() -> dict[str, str]:
             "body_post",
             "body_len",
         ),
-        "stats_from_other_build": _scored("bm25_mm"),
+        "stats_from_other_build": sql_of(
+            """SELECT query_id, doc_id, rank, round(score, 9) AS score, 'bm25' AS model FROM other_bm25_mm
+            UNION ALL SELECT query_id, doc_id, rank, round(score, 9), 'cosine' FROM other_cosine_mm""",
+            "other_bm25_mm",
+            "other_cosine_mm",
+        ),
         "tokens_index_profile": _all_of("body_tok3"),
         "tokens_query_profile": _all_of("body_tok2"),
         "stopword_filter_pre": _all_of("body_kept3"),
@@ -700,6 +795,11 @@ def queries() -> dict[str, str]:
         ),
         "bigrams": sql_of("SELECT DISTINCT doc_id, term AS gram FROM body_gram3", "body_gram3"),
         "bigram_index_title": _all_of("title_grams_post"),
+        "title_index_min_df": sql_of(
+            "SELECT term, doc_id, tf, df, doc_len FROM title_post JOIN title_len USING (doc_id) WHERE df > 20",
+            "title_post",
+            "title_len",
+        ),
         "bigram_index_body": _all_of("body_grams_post"),
         "title_word_count": sql_of(
             "SELECT doc_id, CAST(raw_words AS INTEGER) AS raw_words FROM raw_title", "raw_title"
@@ -709,8 +809,8 @@ def queries() -> dict[str, str]:
         "query_term_frequency": _all_of("q_counted"),
         "doc_length": _all_of("body_len"),
         "posting_lists": sql_of(
-            """SELECT term, CAST(0 AS INTEGER) AS part, string_agg(doc_id || ':' || tf, ' ' ORDER BY doc_id) AS postings
-            FROM body_post GROUP BY term""",
+            """SELECT term, doc_id // 100000 AS part, string_agg(doc_id || ':' || tf, ' ' ORDER BY doc_id) AS postings
+            FROM body_post GROUP BY ALL""",
             "body_post",
         ),
         "posting_lookup": sql_of(
@@ -721,7 +821,7 @@ def queries() -> dict[str, str]:
         "min_df_filter": sql_of("SELECT term, doc_id, tf FROM body_post", "body_post"),
         "corpus_stats": sql_of(
             " UNION ALL ".join(
-                f"SELECT count(*) AS n_docs, round(avg(doc_len), 6) AS avgdl, '{f}' AS field FROM {f}_len"
+                f"SELECT count(*) AS n_docs, round(avg(doc_len), 9) AS avgdl, '{f}' AS field FROM {f}_len"
                 for f in ("title", "body", "anchor")
             ),
             "title_len",
@@ -729,19 +829,21 @@ def queries() -> dict[str, str]:
             "anchor_len",
         ),
         "title_map": sql_of("SELECT id AS doc_id, title FROM docs", "docs"),
-        "doc_norms": sql_of("SELECT doc_id, round(norm2, 6) AS norm2 FROM body_norm", "body_norm"),
+        "doc_norms": sql_of("SELECT doc_id, round(norm2, 9) AS norm2 FROM body_norm", "body_norm"),
         "tf_idf": sql_of(
-            f"SELECT term, doc_id, round(tf * {IDF}, 6) AS weight FROM body_post", "body_post"
+            f"SELECT term, doc_id, round(tf * {IDF}, 9) AS weight FROM body_post", "body_post"
         ),
         "cosine_search": _scored("cosine_mm"),
-        "cosine_unnormalized": _scored("dot_body"),
+        "cosine_unnormalized": _scored("dot_body", 11),
         "bm25_search": _scored("bm25_mm"),
+        "bm25_fixed_avgdl": _scored("bm25_fixed_mm"),
+        "bm25_extended_stems": _scored(extended("bm25_mm")),
         "bm25_all_terms": _scored("bm25_all_mm"),
         "title_coverage": _scored("title_cov_mm"),
         "title_bigram_jaccard": _scored("title_jac_mm"),
         "anchor_count": _scored("anchor_cnt_mm"),
         "body_bigram": sql_of(
-            "SELECT query_id, doc_id, rank, round(score, 6) AS score, matched FROM body_2_mm", "body_2_mm"
+            "SELECT query_id, doc_id, rank, round(score, 9) AS score, matched FROM body_2_mm", "body_2_mm"
         ),
         "body_search_contract": _scored("body_cos"),
         "title_search_contract": _matched("title_words_post"),
@@ -753,28 +855,36 @@ def queries() -> dict[str, str]:
         "fuse_multi_word": _fused("f_multi"),
         "fuse_notebook": _titled("f_notebook"),
         "search": _titled("found"),
+        "search_extended_stems": _titled(extended("found")),
         "link_edges": _all_of("edges"),
         "link_vertices": _all_of("nodes"),
-        "pagerank": sql_of("SELECT id, round(pagerank, 6) AS pagerank FROM pagerank", "pagerank"),
+        "pagerank": sql_of("SELECT id, round(pagerank, 9) AS pagerank FROM pagerank", "pagerank"),
+        "pagerank_ranked": sql_of(
+            f"""SELECT row_number() OVER (ORDER BY {significant('pagerank')} DESC, id) AS rank, id,
+              round(pagerank, 9) AS pagerank FROM pagerank""",
+            "pagerank",
+        ),
         "pagerank_lookup": sql_of(
-            """SELECT doc_id AS pos, doc_id, round(coalesce(pagerank, 0), 6) AS pagerank
-            FROM documents LEFT JOIN pagerank ON id = doc_id""",
+            """SELECT pos, doc_id, round(coalesce(pagerank, 0), 9) AS pagerank
+            FROM wanted LEFT JOIN pagerank ON id = doc_id""",
             "pagerank",
+            "wanted",
         ),
-        "pageview_lookup": f"""SELECT doc_id AS pos, doc_id, coalesce(views, 0) AS views FROM documents LEFT JOIN (
+        "pageview_lookup": f"""WITH wanted AS ({CTES["wanted"][0]})
+            SELECT pos, doc_id, coalesce(views, 0) AS views FROM wanted LEFT JOIN (
             SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS doc_id, count(*) AS views FROM events
             WHERE event_type = 'view' AND date_trunc('month', ts) = DATE '{VIEW_MONTH}' GROUP BY 1) USING (doc_id)""",
         "relevance": _all_of("qrels"),
-        "precision_at_5": sql_of("SELECT query_id, round(precision, 6) AS precision FROM m_p5", "m_p5"),
-        "recall": sql_of("SELECT query_id, round(recall, 6) AS recall FROM m_recall", "m_recall"),
-        "f1_at_30": sql_of("SELECT query_id, round(f1, 6) AS f1 FROM m_f1", "m_f1"),
+        "precision_at_5": sql_of("SELECT query_id, round(precision, 9) AS precision FROM m_p5", "m_p5"),
+        "recall": sql_of("SELECT query_id, round(recall, 9) AS recall FROM m_recall", "m_recall"),
+        "f1_at_30": sql_of("SELECT query_id, round(f1, 9) AS f1 FROM m_f1", "m_f1"),
         "average_precision": sql_of(
-            "SELECT query_id, round(average_precision, 6) AS average_precision FROM m_ap", "m_ap"
+            "SELECT query_id, round(average_precision, 9) AS average_precision FROM m_ap", "m_ap"
         ),
         "benchmark_mean": sql_of(
-            """SELECT count(*) AS n_queries, round(coalesce(avg(precision), 0), 6) AS precision_at_5,
-              round(coalesce(avg(recall), 0), 6) AS recall, round(coalesce(avg(f1), 0), 6) AS f1_at_30,
-              round(coalesce(avg(average_precision), 0), 6) AS map_at_30
+            """SELECT count(*) AS n_queries, round(coalesce(avg(precision), 0), 9) AS precision_at_5,
+              round(coalesce(avg(recall), 0), 9) AS recall, round(coalesce(avg(f1), 0), 9) AS f1_at_30,
+              round(coalesce(avg(average_precision), 0), 9) AS map_at_30
             FROM m_p5 JOIN m_recall USING (query_id) JOIN m_f1 USING (query_id) JOIN m_ap USING (query_id)""",
             "m_p5",
             "m_recall",

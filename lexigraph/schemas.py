@@ -9,9 +9,3 @@ EVENTS = (
 )
 
 QUERIES = "query_id BIGINT, query STRING"
-POSTINGS = "term STRING, doc_id BIGINT, tf INT, df BIGINT, doc_len INT"
-TERM_STATS = "term STRING, df BIGINT, cf BIGINT"
-DOC_STATS = "doc_id BIGINT, doc_len INT"
-DOC_NORMS = "doc_id BIGINT, norm2 DOUBLE"
-CORPUS_STATS = "n_docs BIGINT, avgdl DOUBLE"
-PAGERANK = "id BIGINT, pagerank DOUBLE"

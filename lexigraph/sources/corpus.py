@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +12,6 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..workspace import Workspace
 
-# Documents shorter than this are stubs without links of their own.
-STUB_CHARS = 500
-
 
 @dataclass(frozen=True)
 class Corpus:
@@ -44,12 +43,28 @@ class Corpus:
         return stored.select(F.col("id").alias("doc_id"), "title")
 
 
-def scan(spark: SparkSession, *paths: str, glob: str | None = None) -> Corpus:
-    """Read a stored corpus; ``glob`` keeps only the files whose name matches."""
-    reader = spark.read.schema(schemas.CORPUS)
+def scan(
+    spark: SparkSession,
+    root: str,
+    glob: str | None = None,
+    exclude: Sequence[str] = (),
+    exclude_prefixes: Sequence[str] = (),
+) -> Corpus:
+    """Read a corpus stored as many files below ``root``.
+
+    ``glob`` keeps only the files whose name matches. Files and folders right below ``root``
+    are left out if their name is in ``exclude`` or begins with one of ``exclude_prefixes``;
+    Spark drops such files before it opens them.
+    """
+    reader = spark.read.schema(schemas.CORPUS).option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    rows = reader.parquet(*paths)
+    rows = reader.parquet(root)
+    name = F.regexp_extract(F.col("_metadata.file_path"), re.escape(root.rstrip("/").rpartition("/")[2]) + "/([^/]+)", 1)
+    if exclude:
+        rows = rows.filter(~name.isin(list(exclude)))
+    for prefix in exclude_prefixes:
+        rows = rows.filter(~name.startswith(prefix))
     links = rows.select(F.col("id").alias("src"), F.explode("anchor_text").alias("a")).select(
         "src", F.col("a.id").alias("dst"), F.col("a.text").alias("text")
     )
@@ -64,16 +79,16 @@ def title_of(text):
 def documents_corpus(spark: SparkSession, folder: str, workspace: Workspace) -> Corpus:
     """A corpus over the ``documents`` table.
 
-    Every document that is not a stub links to document ``(7 * id + 3) mod n``, with that
-    document's title as the anchor, and to the first document of its own source, with the
-    source's name in front of the title.
+    Every document links to document ``(7 * id + 3) mod n``, with that document's title as
+    the anchor, and to the first document of its own source, with the source's name in front
+    of the title.
     """
     documents = spark.read.schema(schemas.DOCUMENTS).parquet(f"{folder}/documents.parquet")
     docs = documents.select(F.col("doc_id").alias("id"), title_of(F.col("text")).alias("title"), "text")
     stored_titles = workspace.write(docs.select("id", "title"), "corpus/titles")
 
     n_docs = documents.count()
-    linking = documents.filter(F.col("n_chars") >= STUB_CHARS).select("doc_id", "source")
+    linking = documents.select("doc_id", "source")
     titles = stored_titles.withColumnRenamed("id", "dst")
     onward = (
         linking.select(

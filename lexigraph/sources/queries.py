@@ -6,9 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators.skew import hot_keys, spread_join
 from ..workspace import Workspace
 
 
+# Rows of a word and a number.
+BROADCAST_ROWS = 500_000
+
+
 def read_benchmark(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schemas.BENCHMARK).parquet(f"{folder}/benchmark.parquet")
 
@@ -26,35 +31,46 @@ def passage_queries(benchmark: DataFrame) -> DataFrame:
     return benchmark.select(F.inline(both))
 
 
-def passage_relevance(benchmark: DataFrame, docs: DataFrame, workspace: Workspace) -> DataFrame:
+def passage_relevance(
+    benchmark: DataFrame, docs: DataFrame, workspace: Workspace, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """``qrels(query_id, doc_id)``: documents whose text contains the whole passage.
 
     A document that contains a passage contains the words inside it, so each passage is
-    looked up by its longest inner word, and only the documents found that way are read in
-    full. The pairs are written in between: the second join then knows their size.
+    looked up by the rarest of its inner words, and only the documents found that way are
+    read in full. Passages of fewer than three words have no inner word and are compared
+    with every text.
     """
+    spark = docs.sparkSession
     words = F.split("text", r"\s+")
-    inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
-    longest = F.array_max(
-        F.transform(inner, lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w")))
-    )["w"]
-    too_short = F.raise_error("a passage needs three words or more")
-    keyed = benchmark.select("item_id", F.coalesce(longest, too_short).alias("word"))
+    inner = benchmark.select(
+        "item_id",
+        F.explode(F.array_distinct(F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0))))).alias("word"),
+    ).filter("word <> ''")
+    inner = workspace.write(inner, "queries/inner_words")
+    wanted = workspace.write(inner.select("word").distinct(), "queries/wanted_words")
+    few = wanted.count() <= broadcast_rows
     doc_words = docs.select(
-        F.col("id").alias("doc_id"),
-        F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("word"),
-    )
-    candidates = workspace.write(
-        doc_words.join(keyed, "word")
-        .join(benchmark.withColumnRenamed("text", "passage"), "item_id")
-        .select("doc_id", "item_id", "passage"),
-        "queries/candidates",
-    )
-    pairs = (
-        docs.select(F.col("id").alias("doc_id"), "text")
-        .join(candidates, "doc_id")
-        .filter(F.contains("text", "passage"))
+        F.col("id").alias("doc_id"), F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("word")
     )
+    counted = doc_words.join(F.broadcast(wanted) if few else wanted, "word", "left_semi")
+    # Map-side sums: a frequent word sends one row for each task.
+    df = workspace.write(counted.groupBy("word").agg(F.count("*").alias("df")), "queries/word_counts")
+    rarest = inner.join(df, "word").groupBy("item_id").agg(F.min_by("word", F.struct("df", "word")).alias("word"))
+    keyed = workspace.write(rarest, "queries/rarest_words")
+    if keyed.count() <= broadcast_rows:
+        met = doc_words.join(F.broadcast(keyed), "word")
+    else:
+        picked = df.join(keyed.select("word").distinct(), "word", "left_semi")
+        met = spread_join(doc_words, keyed, "word", "doc_id", hot_keys(picked, "word", "df"))
+    passages = benchmark.withColumnRenamed("text", "passage")
+    candidates = workspace.write(met.join(passages, "item_id").select("doc_id", "item_id", "passage"), "queries/candidates")
+    texts = docs.select(F.col("id").alias("doc_id"), "text")
+    pairs = texts.join(candidates, "doc_id").filter(F.contains("text", "passage")).select("item_id", "doc_id")
+    short = passages.join(inner, "item_id", "left_anti").filter("passage IS NOT NULL")
+    if not short.isEmpty():
+        # A given query set against all texts.
+        pairs = pairs.union(texts.join(short, F.contains("text", "passage")).select("item_id", "doc_id"))
     return pairs.select(
         F.explode(F.array(F.col("item_id") * 2, F.col("item_id") * 2 + 1)).alias("query_id"),
         "doc_id",

@@ -165,6 +165,24 @@ def test_pagerank(spark, ws, edges, rows_per_task):
     assert sum(ranks) == pytest.approx(3)
 
 
+def test_an_iteration_reads_the_edges_once_and_unshuffled(spark, ws, monkeypatch):
+    plans = []
+    step = links._step
+    monkeypatch.setattr(links, "_step", lambda *a: plans.append(plan_of(step(*a))) or step(*a))
+    df = spark.range(3000).select((F.col("id") % 300).alias("src"), (F.col("id") % 77).alias("dst"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links.pagerank(links.edges(df), ws, name="pr_plan")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(plans) == 6
+    for plan in plans:
+        assert plan.count("SortMergeJoin") == 1 and "Bucketed: true" in plan
+        # The shares and the summed messages are shuffled, the edges are not.
+        assert plan.count("Exchange hashpartitioning") == 2
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
 def test_stored_schemas_parse(spark):
-    for name in ("CORPUS", "QUERIES", "POSTINGS", "TERM_STATS", "DOC_STATS", "DOC_NORMS", "CORPUS_STATS", "PAGERANK"):
+    for name in ("CORPUS", "QUERIES", "DOCUMENTS", "PAGES", "BENCHMARK", "EVENTS"):
         assert spark.createDataFrame([], getattr(schemas, name)).columns

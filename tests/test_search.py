@@ -9,9 +9,11 @@ from lexigraph import schemas
 from lexigraph.operators import fusion, search
 from lexigraph.operators import index as ix
 from lexigraph.operators.build import IndexSet
-from lexigraph.operators.ranking import top_k
-from lexigraph.operators.search import QueryBatch
+from lexigraph.operators.ranking import min_max_normalize, top_k
+from lexigraph.operators.search import QueryBatch, TermTable, hits
 from lexigraph.sources import corpus as corpora
+from lexigraph.sources.corpus import scan
+from lexigraph.sources.queries import passage_relevance
 from lexigraph.workspace import Workspace
 
 DOCS = [
@@ -217,15 +219,54 @@ def test_min_df_is_exclusive(indexes):
 
 def test_stats_of_another_build(indexes):
     mixed = indexes.index("body").with_stats_of(indexes.index("title"))
-    lengths = {r["doc_id"]: r["doc_len"] for r in mixed.postings.collect()}
-    assert lengths[1] == 2
+    query = mixed.postings.sparkSession.createDataFrame([(1, "power")], "query_id BIGINT, term STRING")
+    found = hits(mixed, TermTable(query))
+    assert {r["doc_id"]: r["doc_len"] for r in found.collect()}[1] == 2
+    # The join with the lengths stands above the one with the query terms.
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [line for line in plan if "Join Inner" in line]
+    assert "doc_id" in joins[0] and "term" in joins[1]
 
 
 def test_posting_lists_are_cut_into_ordered_parts(indexes):
-    lists = ix.posting_lists(indexes.index("body").postings, docs_per_list=1)
+    lists = ix.posting_lists(indexes.index("body").postings, ids_per_part=2)
     found = {}
-    for r in lists.collect():
+    for r in lists.orderBy("term", "part").collect():
         ids = [p["doc_id"] for p in r["postings"]]
         assert ids == sorted(ids)
         found.setdefault(r["term"], []).extend(ids)
-    assert sorted(found["power"]) == [1, 2, 5]
+    assert found["power"] == [1, 2, 5]
+    assert lists.columns == ["term", "part", "postings"]
+
+
+def test_small_scores_are_ranked_as_they_are(spark):
+    scores = [3e-8, 1e-8, 2e-8, 2e-8 * (1 + 1e-15), 0.0]
+    df = spark.createDataFrame([(1, i, s) for i, s in enumerate(scores)], "query_id BIGINT, doc_id BIGINT, score DOUBLE")
+    cut = top_k(df, 5)
+    assert [r["doc_id"] for r in cut.orderBy("rank").collect()] == [0, 2, 3, 1, 4]
+    low = min_max_normalize(cut.filter("doc_id < 2"))
+    assert sorted(r["score"] for r in low.collect()) == [0.0, 1.0]
+    assert sorted(r["score"] for r in min_max_normalize(cut, cut=False).collect())[-1] == 1.0
+
+
+def test_scan_leaves_out_other_files(spark, ws):
+    root = ws.fresh("many")
+    for name, doc_id in (("part_a", 1), ("part_b", 2), ("stray", 3), ("bucket_x", 4)):
+        row = [(doc_id, "t", "x", [(7, "a")])]
+        spark.createDataFrame(row, schemas.CORPUS).write.parquet(f"{root}/{name}")
+    spark.createDataFrame([(1,)], "x INT").write.json(f"{root}/notes")
+    corpus = scan(spark, root, "*.parquet", exclude=["stray"], exclude_prefixes=["bucket_"])
+    assert sorted(r["id"] for r in corpus.docs.collect()) == [1, 2]
+    assert sorted((r["src"], r["dst"]) for r in corpus.links.collect()) == [(1, 7), (2, 7)]
+    assert len(scan(spark, root, "*.parquet").docs.collect()) == 4
+
+
+@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
+def test_relevance_of_short_and_odd_passages(spark, ws, broadcast_rows):
+    texts = ["one two three four", "xone two threey", "two", "", "one two  three", "four one two three"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id BIGINT, text STRING")
+    passages = ["one two three", "two", "one two", "four", "nothing here at all", "two three four five"]
+    benchmark = spark.createDataFrame(list(enumerate(passages)), "item_id BIGINT, text STRING")
+    found = {(r["query_id"], r["doc_id"]) for r in passage_relevance(benchmark, docs, ws, broadcast_rows).collect()}
+    assert found == {(2 * i + k, d) for i, p in enumerate(passages) for d, t in enumerate(texts) if p in t for k in (0, 1)}
+
