@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 from ..operators.skew import ROWS_PER_TASK, hot_keys, spread_join
 from .common import SPACE, scratch, shuffle_partitions, text_or_empty
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Many small stores need not set aside disk space before they use it.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 #: Digests of 32 bytes; more of them are joined by shuffle.
 BROADCAST_DIGESTS = 500_000
 LOG = "doc_id BIGINT, digest BINARY, locator STRING"
@@ -56,8 +59,9 @@ class ExactDedup:
         log = self.spark.readStream.schema(LOG).parquet(f"{self.root}/log")
         first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "locator"))
         state = log.groupBy("digest").agg(first.alias("first"), F.count("*").alias("n"))
-        before = self.spark.conf.get(PROVIDER, None)
-        self.spark.conf.set(PROVIDER, ROCKSDB)
+        before = {key: self.spark.conf.get(key, None) for key in STATE}
+        for key, value in STATE.items():
+            self.spark.conf.set(key, value)
         try:
             query = (
                 state.writeStream.format("noop")
@@ -68,10 +72,8 @@ class ExactDedup:
             )
             query.awaitTermination()
         finally:
-            if before is None:
-                self.spark.conf.unset(PROVIDER)
-            else:
-                self.spark.conf.set(PROVIDER, before)
+            for key, value in before.items():
+                self.spark.conf.unset(key) if value is None else self.spark.conf.set(key, value)
 
     def state(self) -> DataFrame:
         """``digest, keep_id, locator, group_size`` as the state store holds them."""
