@@ -744,7 +744,7 @@ def _all_of(name: str) -> str:
     return sql_of(f"SELECT * FROM {name}", name)
 
 
-_LINK = "'(?s)<a href=\"([^\"]*)\"[^>]*>(.*?)</a>'"
+_LINK = """'(?is)<a\\b[^>]*?\\shref\\s*=\\s*(?:"([^"]*)"|''([^'']*)'')[^>]*>(.*?)</a\\s*>'"""
 
 
 def queries() -> dict[str, str]:
@@ -770,7 +770,8 @@ def queries() -> dict[str, str]:
             CAST(len(regexp_extract_all(html, {_LINK}, 1)) AS INTEGER) AS n_links FROM pages""",
         "page_link_parse": f"""SELECT page_id, pos, href, {plain("anchor")} AS anchor FROM (
             SELECT page_id, CAST(generate_subscripts(h, 1) - 1 AS INTEGER) AS pos, unnest(h) AS href, unnest(a) AS anchor
-            FROM (SELECT page_id, regexp_extract_all(html, {_LINK}, 1) AS h, regexp_extract_all(html, {_LINK}, 2) AS a
+            FROM (SELECT page_id, list_transform(list_zip(regexp_extract_all(html, {_LINK}, 1), regexp_extract_all(html, {_LINK}, 2)),
+                      lambda x: coalesce(x[1], '') || coalesce(x[2], '')) AS h, regexp_extract_all(html, {_LINK}, 3) AS a
                   FROM pages))""",
         "index_round_trip": sql_of(
             "SELECT term, doc_id, tf, df, doc_len FROM body_post JOIN body_len USING (doc_id)",

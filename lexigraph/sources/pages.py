@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
 
+LINK = r"""(?is)<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)')[^>]*>(.*?)</a\s*>"""
+
+
 def plain_text(markup: Column) -> Column:
     text = F.regexp_replace(markup, "<[^>]*>", " ")
     for entity, char in ENTITIES:
@@ -17,17 +20,22 @@ def plain_text(markup: Column) -> Column:
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """``(page_id, url, title, text, anchors)`` of each page's HTML."""
+    """``(page_id, url, title, text, anchors)`` of each page's HTML.
+
+    Tags may be in either case and have attributes in any order, in double or single quotes.
+    """
     html = F.col("html")
-    link = F.lit(r'(?s)<a href="([^"]*)"[^>]*>(.*?)</a>')
+    link = F.lit(LINK)
     return pages.select(
         "page_id",
         "url",
-        plain_text(F.regexp_extract(html, r"(?s)<title>(.*?)</title>", 1)).alias("title"),
-        plain_text(F.regexp_extract(html, r"(?s)<article>(.*?)</article>", 1)).alias("text"),
+        plain_text(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)).alias("title"),
+        plain_text(F.regexp_extract(html, r"(?is)<article\b[^>]*>(.*?)</article\s*>", 1)).alias("text"),
         F.zip_with(
-            F.regexp_extract_all(html, link, F.lit(1)),
-            F.regexp_extract_all(html, link, F.lit(2)),
+            F.zip_with(
+                F.regexp_extract_all(html, link, F.lit(1)), F.regexp_extract_all(html, link, F.lit(2)), lambda a, b: F.concat(a, b)
+            ),
+            F.regexp_extract_all(html, link, F.lit(3)),
             lambda href, text: F.struct(href.alias("href"), plain_text(text).alias("text")),
         ).alias("anchors"),
     )

@@ -21,7 +21,9 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    # Not local-cluster, whose executors are processes with folders of their own.
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="lexigraph-")
     spark.sparkContext.setCheckpointDir(folder)

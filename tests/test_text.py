@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lexigraph.functions import stopwords, tokens
 from lexigraph.functions.stem import stem_array
 from lexigraph.operators.analyze import counts, merge_pieces
+from lexigraph.sources.pages import parse_pages
 
 PORTER = """
 caresses caress · ponies poni · ties ti · cats cat · feed feed · agreed agre · plastered plaster
@@ -126,3 +127,14 @@ def test_pieces_of_one_document_add_up(spark):
     got = {(r["doc_id"], r["kind"], r["term"]): r["tf"] for r in merge_pieces(rows, ids).collect()}
     assert got[(1, "terms", "a")] == 2 and got[(1, "words", "b")] == 1
     assert [got[(i, "doc_len", "")] for i in (1, 2, 3)] == [3, 0, 0]
+
+
+def test_links_in_any_markup(spark):
+    html = (
+        "<TITLE lang='en'>A &amp; B</TITLE><article class=\"x\"><A class='k' HREF='/one'>first</A> and "
+        '<a\nid="2" href = "/two" rel=x>sec<b>ond</b></a > <abbr href="/no">no</abbr></Article>'
+    )
+    parsed = parse_pages(spark.createDataFrame([(1, "u", html)], "page_id BIGINT, url STRING, html STRING"))
+    row = parsed.first()
+    assert (row["title"], row["text"]) == ("A & B", "first and sec ond no")
+    assert [(a["href"], a["text"]) for a in row["anchors"]] == [("/one", "first"), ("/two", "sec ond")]
