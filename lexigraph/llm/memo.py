@@ -3,9 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import chain, repeat
+from typing import TypeVar
 
 import numpy as np
 
+T = TypeVar("T")
+
+
+_held: dict[tuple, object] = {}
+
+
+def held(key: tuple, make: Callable[[], T]) -> T:
+    """The model of ``key``, made on first use; a worker process keeps one model at a time."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
 
 class _Index(dict):
     def __init__(self, miss: Callable[[str], int]):
@@ -27,7 +42,7 @@ def _grown(values: np.ndarray, size: int) -> np.ndarray:
 class CountMemo:
     """Sums of ``of(word)``, a list of ``width`` integers, over the words of a text."""
 
-    def __init__(self, of: Callable[[str], Sequence[int]], width: int, most: int = 1_000_000):
+    def __init__(self, of: Callable[[str], Sequence[int]], width: int, most: int = 300_000):
         self.of, self.most = of, most
         self.rows = np.zeros((1024, width), np.int64)
         self.index = _Index(self._add)
@@ -46,55 +61,39 @@ class CountMemo:
 
 
 class SpanMemo:
-    """Concatenations of ``of(word)``, integers of any number, over the words of a text.
-
-    Words of more than ``longest`` characters are worked out anew each time. ``many``, if
-    given, works out a list of new words at once.
-    """
-
-    def __init__(
-        self,
-        of: Callable[[str], Sequence[int]],
-        many: Callable[[list[str]], list[Sequence[int]]] | None = None,
-        most: int = 1_000_000,
-        longest: int = 64,
-    ):
-        self.of, self.many, self.most, self.longest = of, many, most, longest
+    """Concatenations of the integers that ``many`` gives for each of a list of words."""
+
+    def __init__(self, many: Callable[[list[str]], list[Sequence[int]]], most: int = 300_000, values: int = 4_000_000):
+        self.many, self.most, self.values = many, most, values
         self.starts, self.sizes = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.flat, self.used = np.zeros(4096, np.int32), 0
-        self.index = _Index(lambda word: self._add(word, self.of(word)))
-
-    def _add(self, word: str, values: Sequence[int]) -> int:
-        at, n = len(self.index), len(values)
-        self.starts, self.sizes = _grown(self.starts, at + 1), _grown(self.sizes, at + 1)
-        self.flat = _grown(self.flat, self.used + n)
-        self.flat[self.used : self.used + n] = values
-        self.starts[at], self.sizes[at] = self.used, n
-        self.used += n
-        return at
-
-    def learn(self, words: set[str]) -> None:
-        """Add new words of a batch in one call of ``many``."""
-        if len(self.index) > self.most:
+        self.index: dict[str, int] = {}
+
+    def _learn(self, words: list[str]) -> None:
+        found = self.many(words)
+        at, sizes = len(self.index), np.fromiter(map(len, found), np.int64, len(found))
+        ends = self.used + np.cumsum(sizes)
+        self.starts, self.sizes = _grown(self.starts, at + len(words)), _grown(self.sizes, at + len(words))
+        self.starts[at : at + len(words)] = ends - sizes
+        self.sizes[at : at + len(words)] = sizes
+        self.flat = _grown(self.flat, int(ends[-1]))
+        self.flat[self.used : ends[-1]] = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+        self.used = int(ends[-1])
+        self.index.update(zip(words, range(at, at + len(words))))
+
+    def batch(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """The integers of each text, given as its words."""
+        if len(self.index) > self.most or self.used > self.values:
             self.index.clear()
             self.used = 0
-        new = [w for w in words if w not in self.index and len(w) <= self.longest]
-        for word, values in zip(new, self.many(new)) if new else ():
-            self.index[word] = self._add(word, values)
-
-    def joined(self, words: list[str]) -> np.ndarray:
-        if len(self.index) > self.most:
-            self.index.clear()
-            self.used = 0
-        if any(len(w) > self.longest for w in words):
-            parts = [np.asarray(self.of(w), np.int32) if len(w) > self.longest else self._spans([w]) for w in words]
-            return np.concatenate(parts)
-        return self._spans(words)
-
-    def _spans(self, words: list[str]) -> np.ndarray:
-        places = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        words = list(chain.from_iterable(texts))
+        places = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(places < 0).tolist()
+        if missing:
+            self._learn(list(dict.fromkeys(words[i] for i in missing)))
+            places[missing] = [self.index[words[i]] for i in missing]
         sizes = self.sizes[places]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        shift = np.repeat(self.starts[places] - (ends - sizes), sizes)
-        return self.flat[shift + np.arange(total)]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        gathered = self.flat[np.repeat(self.starts[places] - ends[:-1], sizes) + np.arange(ends[-1])]
+        cuts = ends[np.cumsum([0, *map(len, texts)])].tolist()
+        return [gathered[a:b] for a, b in zip(cuts, cuts[1:])]

@@ -26,15 +26,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from .common import slices
-from .memo import SpanMemo
+from .memo import SpanMemo, held
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, PAIR_MERGE = 1, 2
 #: What a character outside the alphabet costs in a unigram model, beyond any piece.
 FALLBACK = 1e4
+#: Pairs of pieces whose stability is remembered.
+MOST_PAIRS = 200_000
 
 
 def fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -65,8 +68,6 @@ def fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
 class Transducer:
     """The compiled model; one for each Python worker and file."""
 
-    _loaded: dict[str, Transducer] = {}
-
     def __init__(self, model: bytes):
         self.pieces: list[str] = []
         self.scores: list[float] = []
@@ -105,15 +106,16 @@ class Transducer:
         apart = "".join(re.escape(c) for c in "\n\r\t" if c not in self.alphabet)
         part = f"{MARK}+[^{MARK}{apart}]*|[^{MARK}{apart}]+"
         self.parts = re.compile((f"[{apart}]|{part}" if apart else part) if split else r"(?s).+")
-        self.memo = SpanMemo(self.path)
+        self.memo = SpanMemo(lambda parts: [self.path(p) for p in parts])
         self.text_of = [self._bytes_of(i) for i in range(len(self.pieces))]
 
     @classmethod
     def of(cls, path: str) -> Transducer:
-        if path not in cls._loaded:
+        def load() -> Transducer:
             with open(path, "rb") as file:
-                cls._loaded[path] = cls(file.read())
-        return cls._loaded[path]
+                return cls(file.read())
+
+        return held(("pieces", path), load)
 
     def _trie(self) -> dict:
         root: dict = {}
@@ -160,7 +162,7 @@ class Transducer:
         key = (left, right)
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) > MOST_PAIRS:
                 self.pairs.clear()
             known = self.pairs[key] = self.own[right] and self.merged(self.pieces[left] + self.pieces[right]) == [left, right]
         return known
@@ -204,8 +206,10 @@ class Transducer:
         return ids[::-1]
 
     def encode(self, text: str) -> np.ndarray:
-        parts = self.parts.findall(self.normalise(text))
-        return self.memo.joined(parts) if parts else np.zeros(0, np.int32)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        return self.memo.batch([self.parts.findall(self.normalise(t)) for t in texts])
 
     def decode(self, ids: list[int]) -> str:
         """The inverse transduction; bytes that are not UTF-8 become replacement characters."""
@@ -223,13 +227,21 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
     Null and empty texts have no pieces. ``model`` is a path that every executor can read.
     """
 
-    @F.pandas_udf("array<int>")
-    def ids(texts):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = Transducer.of(model)
-        return texts.map(lambda t: fst.encode(t or ""))
+        for rows in slices(batches):
+            encoded = fst.encode_all([t or "" for t in rows.column(at).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*rows.columns, _lists(encoded)], names)
+
+    own = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != "piece_ids"))
+    at, names = own.columns.index("text"), [*own.columns, "piece_ids"]
+    return own.mapInArrow(run, StructType([*own.schema.fields, StructField("piece_ids", ArrayType(IntegerType()))]))
+
 
-    own = [c for c in docs.columns if c != "piece_ids"]
-    return docs.select(*own, ids("text").alias("piece_ids"))
+def _lists(encoded: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, encoded)])
+    flat = np.concatenate([*encoded, np.zeros(0, np.int32)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
 
 
 def decode_documents(docs: DataFrame, model: str, column: str = "piece_ids", name: str = "decoded") -> DataFrame:
@@ -250,14 +262,12 @@ def round_trip(docs: DataFrame, model: str) -> DataFrame:
         fst = Transducer.of(model)
         for rows in slices(batches):
             texts = [t or "" for t in rows.column("text").to_pylist()]
-            encoded = [fst.encode(t) for t in texts]
+            encoded = fst.encode_all(texts)
             same = [fst.decode(x.tolist()) == fst.expected(t) for x, t in zip(encoded, texts)]
-            sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            flat = np.concatenate([*encoded, np.zeros(0, np.int32)])
-            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
+            sizes = pa.array(list(map(len, encoded)), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(sizes), ids, pa.array(same)], ["doc_id", "n_pieces", "piece_ids", "round_trip"]
+                [rows.column("doc_id"), sizes, _lists(encoded), pa.array(same)],
+                ["doc_id", "n_pieces", "piece_ids", "round_trip"],
             )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")

@@ -32,10 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import shuffle_partitions, small_batches, space, text_or_empty
-from .memo import SpanMemo
+from .memo import SpanMemo, held
 
 END_ID = 1
-SCALE_BITS = 20
+#: Table slots for each symbol, as a power of two; tables of few symbols have 2 ** 16.
+SLOT_BITS = 2
 LOWEST = np.uint64(1 << 31)
 LANES = 1024
 STEPS = 128
@@ -43,18 +44,30 @@ STEPS = 128
 BLOCK_TOKENS = 1 << 20
 MAGIC = b"RANS"
 HEAD = struct.Struct("<4sIIQIII")
-#: Python's split also cuts at these four separators, which are no white space in Unicode.
-ODD = re.compile("[\x1c-\x1f]")
+#: Texts that are only cut at white space: Python's split also cuts at four separators that are
+#: no white space in Unicode, some letters' lower case is not one letter, and special tokens
+#: stand between bars.
+ODD = re.compile("[\x1c-\x1f\u0130\u0250-\U0010ffff]")
 SPACES = re.compile(r"[^\S\x1c-\x1f]+")
+#: A full stop or comma that ends a word after another mark: the tokenizer keeps them together.
+RUN = re.compile(r"[.,][ \n](?<![a-z0-9ß-öø-ÿ]..)")
+#: Lower-case letters, then marks that neither join letters nor are special.
+PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:;=?@\[-`{}~]{0,4})")
+#: How a byte-level vocabulary writes the bytes of such letters.
+BYTE_LETTERS = {b: 256 + 33 + b - 127 for b in range(127, 161)} | {173: 256 + 67}
+PROBES = ("the", "x", "tokenization", "straße", "ñandú", "àâæçèéêëîïôœùûüÿ".replace("œ", ""))
 DOCUMENT = np.dtype([("known", "u1"), ("doc_id", "<i8"), ("tokens", "<u8")])
 
 
 class Frequencies:
     """Scaled frequencies of the symbols that occur, with what coding needs."""
 
-    def __init__(self, ids: np.ndarray, counts: np.ndarray, bits: int = SCALE_BITS):
+    def __init__(self, ids: np.ndarray, counts: np.ndarray):
         order = np.argsort(ids)
-        self.ids, self.bits = ids[order].astype(np.int64), bits
+        self.ids = ids[order].astype(np.int64)
+        self.bits = bits = max(16, len(ids).bit_length() + SLOT_BITS)
+        self.places = np.zeros(int(self.ids[-1]) + 1 if len(ids) else 0, np.int32)
+        self.places[self.ids] = np.arange(len(ids))
         self.scaled = self._scale(counts[order].astype(np.float64), 1 << bits)
         self.freq = self.scaled.astype(np.uint64)
         self.first = (np.cumsum(self.scaled) - self.scaled).astype(np.uint64)
@@ -81,7 +94,7 @@ class Frequencies:
         return scaled
 
     def symbols(self, ids: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.ids, ids)
+        return self.places[ids]
 
 
 def encode(table: Frequencies, ids: np.ndarray, lanes: int, steps: int) -> tuple[np.ndarray, list]:
@@ -176,30 +189,58 @@ class Tokens:
     those of its pieces between white space, one after the other.
     """
 
-    _loaded: dict[str, Tokens] = {}
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo = SpanMemo(lambda w: self.tokenizer.encode(w, add_special_tokens=False).ids, self._many)
+        self.memo = SpanMemo(self._many, most=1_300_000, values=16_000_000)
+        self.model = self.tokenizer.model
+        self.tails: dict[str, list[int]] = {}
+        # Only vocabularies of this kind take words of letters as they are.
+        self.direct = all(self._word(w) == self._encode(w) for w in PROBES)
 
-    @classmethod
-    def of(cls, path: str) -> Tokens:
-        if path not in cls._loaded:
-            cls._loaded[path] = cls(path)
-        return cls._loaded[path]
+    def _encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _word(self, word: str) -> list[int]:
+        """Ids of lower-case Latin letters, which need no normalising and no cutting."""
+        text = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return [t.id for t in self.model.tokenize(text)]
 
     def _many(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        """Plain words, letters and then perhaps marks, are cut where the tokenizer cuts them."""
+        if not self.direct:
+            return [self._encode(w) for w in words]
+        found = []
+        for word in words:
+            m = PLAIN.fullmatch(word)
+            if not m:
+                found.append(self._encode(word))
+                continue
+            ids = self._word(m[1])
+            if m[2]:
+                if m[2] not in self.tails:
+                    self.tails[m[2]] = self._encode(m[2])
+                ids = ids + self.tails[m[2]]
+            found.append(ids)
+        return found
+
+    @classmethod
+    def of(cls, path: str) -> Tokens:
+        return held(("tokenizer", path), lambda: cls(path))
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
-        split = [SPACES.split(t) if ODD.search(t) else t.split() for t in texts]
-        new: set[str] = set()
-        for words in split:
-            new.update(words)
-        self.memo.learn(new)
-        return [self.memo.joined(words) if words else np.zeros(0, np.int32) for words in split]
+        return self.memo.batch([self._words(t) for t in texts])
+
+    @staticmethod
+    def _words(text: str) -> list[str]:
+        """Pieces whose ids, one after the other, are the text's; fewer forms are better."""
+        if "<|" in text or ODD.search(text):
+            return SPACES.split(text)
+        text = text.lower()
+        if not RUN.search(text):
+            text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n")
+        return text.split()
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:

@@ -33,7 +33,7 @@ def test_round_trip(ids, lanes, steps):
     ids = np.array(ids, np.int64) ** 3
     values, counts = np.unique(ids, return_counts=True)
     table = T.Frequencies(values, counts)
-    assert int(table.scaled.sum()) == 1 << T.SCALE_BITS and table.scaled.min() >= 1
+    assert int(table.scaled.sum()) == 1 << table.bits and table.scaled.min() >= 1
     block = T.pack(table, [None, 7], [len(ids) - 1, 1], ids, lanes, steps)
     doc_ids, sizes, back = T.unpack(table, block)
     assert doc_ids == [None, 7] and sizes.tolist() == [len(ids) - 1, 1] and back.tolist() == ids.tolist()
