@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .memo import CountMemo
+from .memo import CountMemo, held
 
 SAMPLE_ROWS = 500
 ROW_CHARS = 4_000
@@ -89,8 +89,6 @@ def phrases(automaton: list[dict[str, int]], text: str) -> int:
 class Parser:
     """Automata of a fitted model, built once in each Python worker."""
 
-    _built: dict[str, Parser] = {}
-
     def __init__(self, samples: list[tuple[str, str]]):
         self.languages = [lang for lang, _ in samples]
         self.automata = [suffix_automaton(text) for _, text in samples]
@@ -99,9 +97,7 @@ class Parser:
 
     @classmethod
     def of(cls, key: str, samples: list[tuple[str, str]]) -> Parser:
-        if key not in cls._built:
-            cls._built = {key: cls(samples)}
-        return cls._built[key]
+        return held(("language", key), lambda: cls(samples))
 
     def count(self, word: str) -> list[int]:
         padded = f" {word} "
