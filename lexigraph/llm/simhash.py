@@ -220,12 +220,12 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     )
 
 
-def keep_one(docs: DataFrame, **parameters) -> DataFrame:
+def keep_one(docs: DataFrame, find=near_duplicates, **parameters) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` is the smallest of its component.
 
-    Documents without an identifier stay only if their component has none with one.
+    ``find`` gives ``doc_id, text_key, component_id`` of every row. Documents without an identifier stay only if their component has none with one.
     """
-    found = near_duplicates(docs, **parameters)
+    found = find(docs, **parameters)
     first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")
     )
