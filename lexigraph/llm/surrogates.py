@@ -74,6 +74,7 @@ PHONE = re.compile(
 TITLED = re.compile(
     r"(?<!\w)(" + "|".join(sorted(TITLE_GENDER, key=len, reverse=True)) + r")\b\.?[ \t]+([^\W\d_][^\W\d_'’-]+(?:[ \t]+[^\W\d_][^\W\d_'’-]+)?)"
 )
+WORDS = re.compile(r"\w+")
 CALLED = re.compile(r"(?<!\w)(" + "|".join(sorted(NAMES, key=len, reverse=True)) + r")[ \t]+([^\W\d_][^\W\d_'’-]+)")
 
 
@@ -95,7 +96,8 @@ def _names(text: str) -> Iterator[tuple[int, int, str, str]]:
     found = []
     if any(t in text for t in TITLE_GENDER):
         found += [(m, TITLE_GENDER[m[1]], m.start(2), m[2]) for m in TITLED.finditer(text)]
-    if not NAMES.isdisjoint(text.split()):
+    # A name of CALLED is a whole run of word characters.
+    if not NAMES.isdisjoint(WORDS.findall(text)):
         found += [(m, NAME_GENDER[m[1]], m.start(), m[0]) for m in CALLED.finditer(text)]
     for m, gender, at, name in found:
         parts = list(re.finditer(r"\S+", name))
