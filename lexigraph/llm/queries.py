@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, language, licenses, mixing, piece_fst, simhash, surrogates, token_store, vector_dedup
+from . import (
+    chat, exact_dedup, language, licenses, mixing, piece_fst, prefix_trie, simhash, surrogates, token_store,
+    vector_dedup, whitening, winnowing,
+)
 from .common import scratch, small_batches, space
 
 
@@ -83,8 +86,31 @@ def op10_sentencepiece(spark: SparkSession, folder: str, model: str | None = Non
     return piece_fst.round_trip(table(spark, folder, "documents"), model)
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    conv = F.col("conv_id")
+    head = (F.crc32(conv.cast("string")) % 4).cast("int")
+    return prefix_trie.shared_prefixes(table(spark, folder, "conversations"), head, conv - conv % 20, most=3)
+
+
+def op12_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.edited_likeness(table(spark, folder, "documents")).select(
+        "row.doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        winnowing.written("own").alias("fingerprint"),
+        winnowing.written("changed").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return whitening.by_component(vectors, whitening.fit(vectors))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_surrogates, op2_exact_dedup, op3_token_store, op4_language, op5_mixing, op6_simhash, op7_vector_dedup, op8_chat, op9_licenses, op10_sentencepiece)
+    q.__name__: q for q in (op1_surrogates, op2_exact_dedup, op3_token_store, op4_language, op5_mixing, op6_simhash, op7_vector_dedup, op8_chat, op9_licenses, op10_sentencepiece, op11_prefix_trie, op12_winnowing, op13_whitening)
 }
 
 SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT"
@@ -167,3 +193,95 @@ SELECT doc_id, coalesce(array_to_string({unique}, ','), '') AS licenses,
 
 
 SQL["op9_licenses"] = _license_sql()
+
+#: The table of CRC-32 (reflected polynomial 0xEDB88320), built bit by bit.
+CRC_TABLE = """tab AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+    lambda x, i: CASE WHEN x & 1 = 1 THEN xor(3988292384, x >> 1) ELSE x >> 1 END)) AS crc)"""
+
+
+def _crc(numbers: str) -> str:
+    """CRC-32 of a list of byte values."""
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, {numbers}), "
+        "lambda x, b: xor(x >> 8, tab.crc[(xor(x, b) & 255) + 1])), 4294967295)"
+    )
+
+
+SQL["op11_prefix_trie"] = f"""
+WITH {CRC_TABLE},
+t AS (SELECT conv_id, turn, coalesce(text, '') AS text,
+             sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS key
+      FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (SELECT *, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key) AS pos FROM t),
+ids AS (SELECT DISTINCT conv_id AS c FROM t),
+convs AS (SELECT c, {_crc("list_transform(string_split(c::VARCHAR, ''), lambda d: unicode(d)::BIGINT)")} % 4 AS h FROM ids, tab),
+rebuilt AS (
+  SELECT c, 0 AS part, pos, key, words FROM convs JOIN placed ON conv_id = c - c % 20 AND pos <= h
+  UNION ALL SELECT c, 1, pos, key, words FROM convs JOIN placed ON conv_id = c AND pos > h),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS d FROM rebuilt),
+paths AS (SELECT c, d, words, string_agg(key, '') OVER (PARTITION BY c ORDER BY d) AS path FROM numbered
+          UNION ALL SELECT c, 0, 0, '' FROM convs),
+nodes AS (SELECT path, any_value(d) AS d, any_value(words) AS words, min(c) AS conv_id, count(*) AS n FROM paths GROUP BY path),
+children AS (SELECT left(path, (64 * (d - 1))::INT) AS path, count(*) AS k FROM nodes WHERE d > 0 GROUP BY 1),
+own AS (SELECT nodes.*, coalesce(k, 0) AS k FROM nodes LEFT JOIN children USING (path)),
+above AS (SELECT left(path, (64 * up)::INT) AS path, k, n, words FROM (SELECT *, unnest(range(d + 1)) AS up FROM own)),
+sums AS (SELECT path, sum((k = 0)::INT) AS leaves, sum((n - 1) * words) AS saved FROM above GROUP BY path),
+last AS (SELECT c, arg_max(path, d) AS path FROM paths GROUP BY c),
+ends AS (SELECT path, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM last GROUP BY path)
+SELECT o.conv_id, o.d::BIGINT AS depth, p.conv_id AS parent_conv_id, o.n AS n_convs, o.k AS n_children,
+       s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM own o JOIN sums s USING (path) LEFT JOIN ends e USING (path)
+LEFT JOIN nodes p ON o.d > 0 AND p.path = left(o.path, (64 * (o.d - 1))::INT)"""
+
+
+def _winnowing_sql() -> str:
+    gram, window, places = winnowing.GRAM, winnowing.WINDOW, winnowing.PLACES
+    # The four bytes of a code point; a CRC is shifted by m bytes through tables of its own four.
+    four = lambda c: f"[{c} >> 24, ({c} >> 16) & 255, ({c} >> 8) & 255, {c} & 255]"
+    steps, width = [], 1
+    while width < gram:
+        joins = " ".join(f"JOIN s{width} t{k} ON t{k}.j = {256 * k} + ((h >> {8 * k}) & 255)" for k in range(4))
+        steps.append(f"""s{width} AS (
+  SELECT j, list_reduce(list_prepend((j & 255) << (8 * (j >> 8)), range({4 * width})),
+                        lambda x, i: xor(x >> 8, tab.crc[(x & 255) + 1])) AS v FROM (SELECT unnest(range(1024)) AS j), tab),
+g{2 * width} AS (
+  SELECT key, pos, n, xor(xor(xor(t0.v, t1.v), xor(t2.v, t3.v)), following) AS h
+  FROM (SELECT *, lead(h, {width}) OVER (PARTITION BY key ORDER BY pos) AS following FROM g{width}) {joins})""")
+        width *= 2
+    return f"""
+WITH {CRC_TABLE},
+docs AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+ring AS (SELECT *, coalesce(lead(doc_id) OVER w, first(doc_id) OVER w) AS next_id, coalesce(lead(text) OVER w, first(text) OVER w) AS next_text
+         FROM docs WINDOW w AS (ORDER BY doc_id DESC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+edits AS (SELECT *, left(text, n - n // 2) || left(next_text, n // 2) AS edited FROM ring),
+texts AS (SELECT 'o' || doc_id AS key, text, length(text) AS n FROM edits UNION ALL SELECT 'e' || doc_id, edited, length(edited) FROM edits),
+chars AS (SELECT key, n, unnest(range(n)) AS pos, unnest(list_transform(regexp_extract_all(text, '(?s).'), lambda c: unicode(c)::BIGINT)) AS code
+          FROM texts),
+codes AS (SELECT code, {_crc(four("code"))} AS h FROM (SELECT DISTINCT code FROM chars), tab),
+g1 AS (SELECT key, pos, n, h FROM chars JOIN codes USING (code)),
+{", ".join(steps)},
+placed AS (SELECT key, pos, n, h * {places} + ({places - 1} - pos) AS v FROM g{gram} WHERE pos <= n - {gram}),
+windows AS (SELECT key, pos, n, min(v) OVER (PARTITION BY key ORDER BY pos ROWS BETWEEN CURRENT ROW AND {window - 1} FOLLOWING) AS v FROM placed),
+chosen AS (SELECT DISTINCT key, v FROM windows WHERE pos = 0 OR pos <= n - {gram + window - 1}),
+short AS (SELECT key, {_crc("flatten(list_transform(regexp_extract_all(text, '(?s).'), lambda c: " + four("unicode(c)::BIGINT") + "))")} AS h
+          FROM texts, tab WHERE n BETWEEN 1 AND {gram - 1}),
+lists AS (SELECT key, list(v >> 31 ORDER BY {places - 1} - (v & {places - 1})) AS hs FROM chosen GROUP BY key UNION ALL SELECT key, [h] FROM short),
+prints AS (SELECT key, coalesce(hs, []) AS hs FROM texts LEFT JOIN lists USING (key))
+SELECT d.doc_id, d.n AS n_chars, sha256(d.edited) AS edited_sha256,
+       {_hex("o.hs")} AS fingerprint, {_hex("e.hs")} AS edited_fingerprint,
+       {_likeness("o.hs", "e.hs")} AS near_edited, {_likeness("o.hs", "f.hs")} AS near_next
+FROM edits d JOIN prints o ON o.key = 'o' || d.doc_id JOIN prints e ON e.key = 'e' || d.doc_id JOIN prints f ON f.key = 'o' || d.next_id"""
+
+
+def _hex(values: str) -> str:
+    return f"coalesce(array_to_string(list_transform({values}, lambda x: lower(to_hex(x))), ' '), '')"
+
+
+def _likeness(a: str, b: str) -> str:
+    every = f"len(list_distinct(list_concat({a}, {b})))"
+    return f"CASE WHEN {every} = 0 THEN 1.0::DOUBLE ELSE len(list_intersect({a}, {b}))::DOUBLE / {every} END"
+
+
+SQL["op12_winnowing"] = _winnowing_sql()
