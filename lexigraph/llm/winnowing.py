@@ -6,23 +6,21 @@ polynomial is the hash. Such remainders roll: ``crc(a + b)`` is ``crc(a)`` shift
 of ``b``, a linear map, plus ``crc(b)``, and the SQL of this operator computes them that way. Here
 each run's remainder is taken at once, as the JVM does it in a few cycles. Of every ``WINDOW``
 neighbouring hashes the smallest is kept, of equal ones the rightmost, with its position. Hash
-and position share one long integer, which makes the smallest integer the wanted choice, and
-the windows' minima are taken by doubling their width.
+and position share one long integer, which makes the smallest integer the wanted choice.
 
 Guarantees: two texts that share ``GRAM + WINDOW - 1`` code points in a row share a
 fingerprint, at the matching positions; a match shorter than ``GRAM`` is never reported, but
 for equal hashes of different runs (one pair in four thousand million).
 
-Everything is one expression of built-in functions. A text is taken apart in pieces of
-``PIECE`` windows that overlap by a window and a run, so that the arrays at work stay small
-however long the text is; every window lies in one piece, and the choice is the same as for
-the text in one.
+Everything is one expression of built-in functions. A text is encoded in parts of ``PART``
+windows and worked on in pieces of ``PIECE`` windows, which overlap by a window and a run, so
+that the arrays at work stay small however long the text is; every window lies in one piece,
+and the choice is the same as for the text in one.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,9 +29,12 @@ from .common import shuffle_partitions
 
 GRAM = 16
 WINDOW = 32
-PIECE = 8192
+PART = 32768
+PIECE = 512
 #: Hashes are below 2 ** 32, positions below 2 ** 31: together below 2 ** 63.
 PLACES = 2**31
+#: A quarter of all hashes are small; of ten thousand windows one has none.
+SMALL = PLACES << 30
 #: Neighbouring documents in one bucket, about.
 BUCKET_ROWS = 4096
 
@@ -43,55 +44,67 @@ def _let(name: str, value: str, body: str) -> str:
     return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def _doublings(total: int) -> list[tuple[int, int]]:
-    """``(width so far, shift)`` of the passes that widen runs of 1 to runs of ``total``."""
-    steps, width = [], 1
-    while width < total:
-        shift = min(width, total - width)
-        steps.append((width, shift))
-        width += shift
-    return steps
+def _runs(start: str, stop: str, gram: int, last: str) -> str:
+    """Hash and place of the runs ``start`` to ``stop`` of the encoded part ``b``.
 
-
-def _minima(values: str, window: int) -> str:
-    """The smallest of every ``window`` neighbours; overlapping halves do no harm to a minimum.
-
-    ``least`` skips the nulls that ``zip_with`` puts behind the shorter array; the windows that
-    run over the end are cut off last.
+    Smaller for smaller hashes, then for later positions; ``last`` is the place of run 0, and
+    places fall as positions rise.
     """
-    name = "m0"
-    lets = [(name, values)]
-    for step, (_, shift) in enumerate(_doublings(window), 1):
-        new = f"m{step}"
-        lets.append((new, f"zip_with({name}, slice({name}, {shift + 1}, size({name})), (x, y) -> least(x, y))"))
-        name = new
-    return reduce(lambda body, bound: _let(*bound, body), reversed(lets), f"slice({name}, 1, size({name}) - {window - 1})")
+    return f"transform(sequence({start}, {stop}), i -> crc32(substring(b, 4 * i + 1, {4 * gram})) * {PLACES}L + ({last} - i))"
+
 
+def _choices(window: int) -> str:
+    """The minima of all windows of the array ``v``, in order, one for each change.
 
-def _placed(text: str, gram: int, start: str) -> str:
-    """Every run's hash with its position: smaller for smaller hashes, then for later positions."""
-    run = f"crc32(substring(b, 4 * i + 1, {4 * gram}))"
-    runs = f"transform(sequence(0, length(b) div 4 - {gram}), i -> {run} * {PLACES}L + ({PLACES - 1}L - ({start} + i)))"
-    return _let("b", f"encode({text}, 'UTF-32')", runs)
+    A fold keeps the smallest of the last ``window`` values. Only small hashes can take its place
+    while it is there, so the fold visits those alone; if the smallest has left the window by then,
+    the places from there on are looked at one by one, and the window is searched when it lost its
+    smallest. While there was no small hash yet, all places are looked at.
+    """
+    low = PLACES - 1
+    first = f"(get(v, 0) & {low}L)"
+
+    def at(x: str) -> str:
+        return f"cast({first} - ({x} & {low}L) AS INT)"
+
+    put = "struct({0} AS least, array_append(r.chosen, {0}) AS chosen)"
+    searched = _let("m", f"array_min(transform(sequence(e - {window - 1}, e), i -> get(v, i)))", put.format("m"))
+    start = f"CASE WHEN s.least < {SMALL}L THEN {at('s.least')} + {window} ELSE {window} END"
+    walk = f"""aggregate(sequence({start}, {{end}}), s, (r, e) -> CASE
+        WHEN get(v, e) < r.least THEN {put.format("get(v, e)")}
+        WHEN e - {at("r.least")} >= {window} THEN {searched}
+        ELSE r END)"""
+    ending = "size(v) - 1"
+    return _let(
+        "m",
+        f"array_min(slice(v, 1, {window}))",
+        f"""aggregate(filter(v, x -> x < {SMALL}L), struct(m AS least, array(m) AS chosen), (s, x) -> CASE
+          WHEN (s.least & {low}L) - (x & {low}L) >= {window} OR s.least >= {SMALL}L THEN {walk.format(end=at("x"))}
+          WHEN x < s.least THEN struct(x AS least, array_append(s.chosen, x) AS chosen)
+          ELSE s END,
+          s -> CASE WHEN {start} <= {ending} THEN {walk.format(end=ending)}.chosen ELSE s.chosen END)""",
+    )
 
 
-def packed(text: str, gram: int = GRAM, window: int = WINDOW, piece: int = PIECE) -> str:
-    """SQL text: the chosen values and positions of a text column, packed, in text order.
+def packed(text: str, gram: int = GRAM, window: int = WINDOW, part: int = PART, piece: int = PIECE) -> str:
+    """SQL text: the chosen hashes and positions of a text column, packed, in text order.
 
     A text of fewer than ``gram`` code points has one fingerprint, the hash of all of it at
     position 0; one with fewer than ``window`` runs has one, the smallest; the empty text none.
     """
     if gram < 1 or window < 1:
         raise ValueError("gram and window are at least 1")
-    whole = "crc32(encode(t, 'UTF-32'))"
-    part = f"substring(t, cast(p * {piece} + 1 AS INT), {piece + window + gram - 2})"
-    minima = f"array_distinct({_minima(_placed(part, gram, f'p * {piece}L'), window)})"
+    last = f"length(b) div 4 - {gram}"
+    runs = _runs(f"q * {piece}", f"least(q * {piece} + {piece + window - 2}, {last})", gram, "o")
+    pieces = f"flatten(transform(sequence(0, ({last} - {window - 1}) div {piece}), q -> {_let('v', runs, _choices(window))}))"
+    taken = f"substring(t, cast(p * {part} + 1 AS INT), {part + window + gram - 2})"
+    parts = _let("o", f"{PLACES - 1}L - p * {part}L", _let("b", f"encode({taken}, 'UTF-32')", pieces))
     windows = f"n - {gram + window - 2}"
     body = f"""CASE
       WHEN n = 0 THEN cast(array() AS ARRAY<BIGINT>)
-      WHEN n < {gram} THEN array({whole} * {PLACES}L + {PLACES - 1}L)
-      WHEN {windows} <= 1 THEN array(array_min({_placed("t", gram, "0L")}))
-      ELSE array_distinct(flatten(transform(sequence(0, cast(({windows} - 1) div {piece} AS INT)), p -> {minima}))) END"""
+      WHEN n < {gram} THEN array(crc32(encode(t, 'UTF-32')) * {PLACES}L + {PLACES - 1}L)
+      WHEN {windows} <= 1 THEN array(array_min({_let("b", "encode(t, 'UTF-32')", _runs("0", last, gram, f"{PLACES - 1}L"))}))
+      ELSE array_distinct(flatten(transform(sequence(0, cast(({windows} - 1) div {part} AS INT)), p -> {parts}))) END"""
     return _let("t", f"coalesce({text}, '')", _let("n", "char_length(t)", body))
 
 
@@ -107,10 +120,11 @@ def fingerprints(column: str) -> Column:
     )
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Shared hashes over all hashes of two fingerprints, 1.0 for two empty ones."""
-    every = F.size(F.array_union(a, b))
-    return F.when(every == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / every)
+def likeness(a: str, b: str) -> Column:
+    """Shared hashes over all hashes of two fingerprints' distinct hashes, 1.0 for two empty ones."""
+    shared = F.size(F.array_intersect(a, b))
+    every = F.size(a) + F.size(b) - shared
+    return F.when(every == 0, 1.0).otherwise(shared / every)
 
 
 def winnow(docs: DataFrame, text: str = "text", gram: int = GRAM, window: int = WINDOW, name: str = "fingerprints") -> DataFrame:
@@ -191,18 +205,19 @@ def edited_likeness(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) ->
     text = F.coalesce(F.col("row.text"), F.lit(""))
 
     def made(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("own", F.expr(packed("row.text", gram, window))).withColumn("body", text)
+        rows = rows.withColumn("own", F.expr(packed("row.text", gram, window))).withColumn("body", text)
+        return rows.withColumn("hashes", F.array_distinct(hashes("own")))
 
-    rows = with_next(docs, ["body", "own"], made=made)
+    rows = with_next(docs, ["body", "hashes"], made=made)
     rows = rows.withColumn("n_chars", F.char_length("body").cast("bigint"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     kept = F.substring(F.col("body"), F.lit(1), (F.col("n_chars") - half).cast("int"))
     rows = rows.withColumn("edited", F.concat(kept, F.substring(F.col("next.body"), F.lit(1), half)))
     rows = rows.withColumn("changed", F.expr(packed("edited", gram, window)))
-    own, changed, following = hashes("own"), hashes("changed"), hashes("next.own")
+    rows = rows.withColumn("new_hashes", F.array_distinct(hashes("changed")))
     return rows.select(
         "row", "n_chars", "edited", "own", "changed",
-        likeness(own, changed).alias("near_edited"), likeness(own, following).alias("near_next"),
+        likeness("hashes", "new_hashes").alias("near_edited"), likeness("hashes", "next.hashes").alias("near_next"),
     )
 
 
