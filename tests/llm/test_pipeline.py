@@ -40,4 +40,4 @@ def test_odd_rows(spark, docs, empty, folder):
 
 
 def test_registered_for_every_operator():
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
