@@ -102,7 +102,7 @@ class IndexSet:
         stored_as = name if min_df is None else f"{name}_over_{min_df}"
         component = LAYOUT[name][0]
         self.statistics(component)
-        return build_index(self.flat(name), self.root, stored_as, component, threshold)
+        return build_index(self.flat(name), self.root, stored_as, component, threshold, profile=str(self.profile))
 
     def _norms(self, name: str) -> DataFrame:
         return self.workspace.write(squared_norms(self.index(name)), f"norms/{name}")

@@ -6,6 +6,7 @@ An index under a root folder is four tables, each a ``field=<name>`` partition o
 ``term_stats``    ``(term, df, cf)`` of every term, also of those below the df threshold
 ``doc_stats``     ``(doc_id, doc_len)``, with a row for empty documents
 ``corpus_stats``  one row ``(n_docs, avgdl)``
+``manifest``      one row: what was indexed and over which threshold; ``read_index`` obeys it
 
 Several indexes of one component (its words, its two-word grams) share the last two.
 
@@ -19,11 +20,18 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workspace import Workspace
 from .skew import ROWS_PER_TASK, hot_keys, spread_join
 
+MANIFEST = "component STRING, statistics STRING, min_df BIGINT, profile STRING"
+# From this many files on, a query table opens only those that hold its terms.
+DIRECTORY_FILES = 32
+# Removed identifiers are broadcast up to this many, of eight bytes each.
+BROADCAST_REMOVED = 2_000_000
+
 
 @dataclass(frozen=True)
 class Index:
@@ -32,8 +40,18 @@ class Index:
     doc_stats: DataFrame
     corpus_stats: DataFrame
     min_df: int = 0
+    # What was indexed ("body") and a description of how its text became words.
+    component: str | None = None
+    profile: str = ""
     # Document lengths of another build, joined to the postings of query terms only.
     other_lengths: DataFrame | None = None
+    # An index of several segments: postings carry no df, as it changes with every segment, and
+    # ``removed(doc_id, upto)`` takes a document out of the segments up to a number.
+    segmented: bool = False
+    removed: DataFrame | None = None
+    n_removed: int = 0
+    # Postings bucketed by term, for query tables too large to broadcast.
+    buckets: Buckets | None = None
 
     @cached_property
     def _corpus(self):
@@ -54,16 +72,107 @@ class Index:
     def kept_terms(self) -> DataFrame:
         return self.term_stats.filter(F.col("df") > self.min_df)
 
-    def with_stats_of(self, other: Index) -> Index:
-        """The same postings with the document lengths and size of another build."""
+    def live(self, postings: DataFrame) -> DataFrame:
+        """``postings`` without those of documents that were removed later."""
+        if not self.segmented:
+            return postings
+        if self.removed is not None:
+            gone = F.broadcast(self.removed) if self.n_removed <= BROADCAST_REMOVED else self.removed
+            gone = gone.withColumnRenamed("doc_id", "gone_id")
+            postings = postings.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.col("segment") <= F.col("upto")), "left_anti")
+        return postings.drop("segment")
+
+    def all_postings(self) -> DataFrame:
+        """Every posting over the threshold, with its term's document frequency."""
+        if not self.segmented:
+            return self.postings
+        kept = self.kept_terms().select("term", "df")
+        return spread_join(self.live(self.postings), kept, "term", "doc_id", hot_keys(kept, "term", "df"))
+
+    def with_stats_of(self, other: Index, same_component: bool = False) -> Index:
+        """The same postings with the document lengths and size of another build.
+
+        ``same_component`` refuses statistics of another field, by the indexes' manifests.
+        """
+        if same_component and self.component != other.component:
+            raise ValueError(f"statistics of {other.component!r} do not fit an index of {self.component!r}")
         return replace(
             self,
             postings=self.postings.drop("doc_len"),
             doc_stats=other.doc_stats,
             corpus_stats=other.corpus_stats,
             other_lengths=other.doc_stats.select("doc_id", "doc_len"),
+            buckets=None,
         )
 
+    @cached_property
+    def directory(self) -> DataFrame | None:
+        """One row ``files``: an array of (first term, last term, path), ascending; None for few files.
+
+        Files are ranges of terms, so the array is sorted by both ends. It grows with the files,
+        not with the postings; terms are read once to make it.
+        """
+        if self.segmented or len(self.postings.inputFiles()) < DIRECTORY_FILES:
+            return None
+        ends = self.postings.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.min("term").alias("first"), F.max("term").alias("last"))
+        rows = ends.agg(F.sort_array(F.collect_list(F.struct("first", "last", "path"))).alias("files")).collect()
+        return self.postings.sparkSession.createDataFrame(rows, "files ARRAY<STRUCT<first: STRING, last: STRING, path: STRING>>")
+
+    def postings_of(self, terms: DataFrame) -> DataFrame:
+        """The postings in the files that may hold ``terms(term)``; other files are not opened."""
+        if self.directory is None:
+            return self.postings
+        below = _count_sorted("files", lambda f: f["last"] < F.col("term"))
+        upto = _count_sorted("files", lambda f: f["first"] <= F.col("term"))
+        met = terms.distinct().crossJoin(F.broadcast(self.directory)).select(F.slice("files", below + 1, F.greatest(upto - below, F.lit(0))).alias("met"))
+        paths = [r[0] for r in met.select(F.explode("met.path")).distinct().collect()]
+        spark = self.postings.sparkSession
+        if not paths:
+            return self.postings.limit(0)
+        return spark.read.schema(self.postings.schema).parquet(*sorted(paths))
+
+
+def _count_sorted(array: str, holds) -> Column:
+    """The number of leading elements for which ``holds``, by bisection of a sorted array."""
+    steps = F.array(*(F.lit(1 << b) for b in reversed(range(24))))
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: at + F.when((at + step <= F.size(array)) & holds(F.get(F.col(array), at + step - 1)), step).otherwise(0),
+    )
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """Postings stored in ``n`` buckets by term; hot terms are divided by ``part`` as well."""
+
+    table: str
+    n: int
+    hot: DataFrame | None
+
+
+def bucket_postings(index: Index, workspace: Workspace, name: str, rows_per_task: int = ROWS_PER_TASK) -> Index:
+    """The index with its postings bucketed, so that large query tables meet them unshuffled.
+
+    A term with very many postings is divided by document over several buckets, and a query term
+    is repeated for each of its parts.
+    """
+    postings = index.all_postings()
+    spark = postings.sparkSession
+    kept = index.kept_terms()
+    n_rows, hot = kept.agg(F.sum("df")).first()[0] or 0, hot_keys(kept, "term", "df", rows_per_task)
+    key = ["term"] if hot is None else ["term", "part"]
+    if hot is not None:
+        hot = workspace.write(hot, f"{name}/hot")
+        part = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("parts")), F.lit(0)).cast("int")
+        postings = postings.join(F.broadcast(hot), "term", "left").withColumn("part", part).drop("parts")
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // rows_per_task))
+    path = workspace.fresh(f"{name}/postings_by_term")
+    table = "postings_" + path.rpartition("-")[2]
+    # Repartitioned first, so that each bucket is one file.
+    postings.repartition(n, *key).write.bucketBy(n, *key).sortBy(*key).option("path", path).saveAsTable(table)
+    return replace(index, buckets=Buckets(table, n, hot))
+
 
 def flatten(forward: DataFrame, counts: str, *carried: str) -> DataFrame:
     """``(doc_id, *carried, term, tf)`` from a stored forward table.
@@ -105,6 +214,7 @@ def build_index(
     component: str,
     min_df: int = 20,
     rows_per_task: int = ROWS_PER_TASK,
+    profile: str = "",
 ) -> Index:
     """Write the index of ``flat(doc_id, term, tf, ...)`` and read it back.
 
@@ -129,35 +239,46 @@ def build_index(
         .write.mode("overwrite")
         .parquet(table_path(root, "postings", name))
     )
-    return read_index(spark, root, name, component, min_df)
+    _write_manifest(spark, root, name, component, component, min_df, profile)
+    return read_index(spark, root, name)
 
 
-def write_index(index: Index, root: str, name: str) -> None:
-    """Store an index that is already in table form."""
-    index.postings.repartitionByRange("term", "doc_id").sortWithinPartitions(
-        "term", "doc_id"
-    ).write.mode("overwrite").parquet(table_path(root, "postings", name))
+def _write_manifest(spark: SparkSession, root: str, name: str, component: str | None, statistics: str, min_df: int, profile: str) -> None:
+    row = spark.createDataFrame([(component, statistics, min_df, profile)], MANIFEST)
+    row.coalesce(1).write.mode("overwrite").parquet(table_path(root, "manifest", name))
+
+
+def write_index(index: Index, root: str, name: str, rows_per_task: int = ROWS_PER_TASK) -> None:
+    """Store an index that is already in table form, with the threshold it was built over."""
+    postings = index.all_postings()
+    spark = postings.sparkSession
+    n_rows = index.kept_terms().agg(F.sum("df")).first()[0] or 0
+    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // rows_per_task))
+    postings.repartitionByRange(n_parts, "term", "doc_id").sortWithinPartitions("term", "doc_id").write.mode(
+        "overwrite"
+    ).parquet(table_path(root, "postings", name))
     for table in ("term_stats", "doc_stats", "corpus_stats"):
         getattr(index, table).write.mode("overwrite").parquet(table_path(root, table, name))
+    _write_manifest(spark, root, name, index.component, name, index.min_df, index.profile)
 
 
-def read_index(
-    spark: SparkSession, root: str, name: str, component: str | None = None, min_df: int = 0
-) -> Index:
-    """``component`` names the shared statistics; by default they are stored as ``name``."""
-    component = component or name
+def read_index(spark: SparkSession, root: str, name: str) -> Index:
+    """An index as it was stored: its manifest names its statistics, threshold and component."""
+    said = spark.read.schema(MANIFEST).parquet(table_path(root, "manifest", name)).first()
     return Index(
         spark.read.parquet(table_path(root, "postings", name)),
         spark.read.parquet(table_path(root, "term_stats", name)),
-        spark.read.parquet(table_path(root, "doc_stats", component)),
-        spark.read.parquet(table_path(root, "corpus_stats", component)),
-        min_df=min_df,
+        spark.read.parquet(table_path(root, "doc_stats", said["statistics"])),
+        spark.read.parquet(table_path(root, "corpus_stats", said["statistics"])),
+        min_df=said["min_df"],
+        component=said["component"],
+        profile=said["profile"],
     )
 
 
 def lookup(index: Index, term: str) -> DataFrame:
     """One posting list; no rows for an unknown term. The filter reaches the Parquet scan."""
-    return index.postings.filter(F.col("term") == term).select("doc_id", "tf").orderBy("doc_id")
+    return index.live(index.postings.filter(F.col("term") == term)).select("doc_id", "tf").orderBy("doc_id")
 
 
 def posting_lists(postings: DataFrame, ids_per_part: int = 100_000) -> DataFrame:
@@ -176,8 +297,8 @@ def posting_lists(postings: DataFrame, ids_per_part: int = 100_000) -> DataFrame
 def squared_norms(index: Index) -> DataFrame:
     """Sum over a document's postings of ((tf / doc_len) * log2(N / df)) squared."""
     weight = F.col("tf") / F.col("doc_len") * index.idf()
-    return index.postings.groupBy("doc_id").agg(F.sum(F.pow(weight, F.lit(2.0))).alias("norm2"))
+    return index.all_postings().groupBy("doc_id").agg(F.sum(F.pow(weight, F.lit(2.0))).alias("norm2"))
 
 
 def tf_idf(index: Index) -> DataFrame:
-    return index.postings.select("term", "doc_id", (F.col("tf") * index.idf()).alias("weight"))
+    return index.all_postings().select("term", "doc_id", (F.col("tf") * index.idf()).alias("weight"))

@@ -131,18 +131,39 @@ class QueryBatch:
 
 
 def hits(index: Index, queries: TermTable) -> DataFrame:
-    """Query terms joined to their postings; terms the index lacks fall out."""
-    postings = index.postings
+    """Query terms joined to their postings; terms the index lacks fall out.
+
+    Few terms reach the scan as a filter, more of them open the files that hold them, and a table
+    too large to broadcast meets postings bucketed by term, where the index has them.
+    """
+    rows, small = queries.rows, queries.size <= BROADCAST_ROWS
+    if index.segmented:
+        kept = index.kept_terms().select("term", "df")
+        rows = kept.join(F.broadcast(rows) if small else rows, "term")
     if queries.few_terms is not None:
-        postings = postings.filter(F.col("term").isin(queries.few_terms))
-    if queries.size <= BROADCAST_ROWS:
-        found = postings.join(F.broadcast(queries.rows), "term")
+        found = index.postings.filter(F.col("term").isin(queries.few_terms)).join(F.broadcast(rows), "term")
+    elif small:
+        found = index.postings_of(queries.rows.select("term")).join(F.broadcast(rows), "term")
+    elif index.buckets is not None:
+        return _bucketed_hits(index, rows)
     else:
-        hot = hot_keys(index.kept_terms(), "term", "df")
-        found = spread_join(postings, queries.rows, "term", "doc_id", hot)
+        found = spread_join(index.postings, rows, "term", "doc_id", hot_keys(index.kept_terms(), "term", "df"))
+    found = index.live(found)
     return found if index.other_lengths is None else found.join(index.other_lengths, "doc_id")
 
 
+def _bucketed_hits(index: Index, rows: DataFrame) -> DataFrame:
+    """Only the query terms are shuffled, into the buckets of the stored postings."""
+    buckets = index.buckets
+    key, rows = ["term"], rows.select([c for c in rows.columns if c != "df"])
+    if buckets.hot is not None:
+        key = ["term", "part"]
+        last = F.coalesce("parts", F.lit(1)) - 1
+        rows = rows.join(F.broadcast(buckets.hot), "term", "left").withColumn("part", F.explode(F.sequence(F.lit(0), last))).drop("parts")
+    placed = rows.repartition(buckets.n, *key).hint("merge")
+    return rows.sparkSession.table(buckets.table).join(placed, key).drop("part")
+
+
 def _sum_scores(parts: DataFrame) -> DataFrame:
     return parts.groupBy("query_id", "doc_id").agg(F.sum("part").alias("score"))
 

@@ -18,6 +18,7 @@ from ..operators.analyze import INDEX, QUERY, Profile, positions, spread
 from ..operators.build import IndexSet
 from ..operators.ranking import min_max_normalize, rank_all
 from ..operators.search import QueryBatch
+from ..operators.segments import SegmentedIndex
 from ..functions.scores import REFERENCE_AVGDL
 from ..sources import corpus as corpora
 from ..sources import pages as page_source
@@ -63,6 +64,29 @@ class Tables:
         wider = corpora.Corpus(self.corpus.docs.unionByName(more), self.corpus.links)
         return IndexSet(wider, self.workspace, profile=Profile(min_chars=2, stop_words=(), index_stop_words=()))
 
+    @cached_property
+    def segmented(self) -> SegmentedIndex:
+        """The bodies, added in batches; two thirds of them replace or follow earlier versions.
+
+        The first batch has a third of the bodies, the titles of another third in place of their
+        bodies, and web pages that are removed again.
+        """
+        def third(rows: DataFrame, k: int) -> DataFrame:
+            return rows.filter(F.pmod("doc_id", F.lit(3)) == k)
+
+        body, title = (self.indexes.flat(c).select("doc_id", "term", "tf", "doc_len") for c in ("body", "title"))
+        bodies, titles = self.indexes.doc_stats("body"), self.indexes.doc_stats("title")
+        stray = third(title, 0).withColumn("doc_id", -1 - F.col("doc_id"))
+        strays = third(titles, 0).withColumn("doc_id", -1 - F.col("doc_id"))
+        index = SegmentedIndex.open(self.spark, self.workspace.fresh("segments"), "body")
+        index = index.append(
+            third(body, 0).unionByName(third(title, 1)).unionByName(stray),
+            third(bodies, 0).unionByName(third(titles, 1)).unionByName(strays),
+        )
+        index = index.remove(strays.unionByName(third(titles, 1)))
+        index = index.append(third(body, 1), third(bodies, 1))
+        return index.append(third(body, 2), third(bodies, 2))
+
     @cached_property
     def stored_corpus(self) -> corpora.Corpus:
         """The corpus as files of several folders, among others that are no part of it."""
@@ -193,11 +217,42 @@ def index_round_trip(t: Tables) -> DataFrame:
     return ix.read_index(t.spark, root, "body").postings.select("term", "doc_id", "tf", "df", "doc_len")
 
 
+@query
+def index_after_adding(t: Tables) -> DataFrame:
+    """Postings of the bodies over twenty documents, from an index that was added to and removed from."""
+    return t.segmented.read(20).all_postings().select("term", "doc_id", "tf", "df", "doc_len")
+
+
+@query
+def statistics_after_adding(t: Tables) -> DataFrame:
+    """Document and collection frequencies, added up over segments and removals."""
+    return t.segmented.read().term_stats
+
+
+@query
+def bm25_after_adding(t: Tables) -> DataFrame:
+    return _ranked(search.bm25(t.segmented.read(20), t.batch))
+
+
+@query
+def bm25_after_merge(t: Tables) -> DataFrame:
+    """The same search when all segments were written as one."""
+    return _ranked(search.bm25(t.segmented.merge().read(20), t.batch))
+
+
+@query
+def body_search_stored(t: Tables) -> DataFrame:
+    """The contract's body search over an index that was stored and read again."""
+    root = t.workspace.fresh("stored_words")
+    ix.write_index(t.indexes.index("body_words"), root, "body_words")
+    return _ranked(search.body_cosine(ix.read_index(t.spark, root, "body_words"), t.batch))
+
+
 @query
 def stats_from_other_build(t: Tables) -> DataFrame:
     """Body postings scored with lengths, size and norms of a build of more and longer texts."""
     other = t.other_build
-    mixed = t.indexes.index("body").with_stats_of(other.index("body"))
+    mixed = t.indexes.index("body").with_stats_of(other.index("body"), same_component=True)
     by_bm25 = _ranked(search.bm25(mixed, t.batch)).withColumn("model", F.lit("bm25"))
     by_cosine = _ranked(search.cosine(mixed, t.batch, other.norms("body"))).withColumn("model", F.lit("cosine"))
     return by_bm25.unionByName(by_cosine)

@@ -778,6 +778,15 @@ def queries() -> dict[str, str]:
             "body_post",
             "body_len",
         ),
+        "index_after_adding": sql_of(
+            "SELECT term, doc_id, tf, df, doc_len FROM body_post JOIN body_len USING (doc_id)",
+            "body_post",
+            "body_len",
+        ),
+        "statistics_after_adding": _all_of("body_df"),
+        "bm25_after_adding": _scored("bm25_mm"),
+        "bm25_after_merge": _scored("bm25_mm"),
+        "body_search_stored": _scored("body_cos"),
         "stats_from_other_build": sql_of(
             """SELECT query_id, doc_id, rank, round(score, 9) AS score, 'bm25' AS model FROM other_bm25_mm
             UNION ALL SELECT query_id, doc_id, rank, round(score, 9), 'cosine' FROM other_cosine_mm""",

@@ -13,6 +13,10 @@ from .. import schemas
 from ..workspace import Workspace
 
 
+# File paths without a host are written with one slash or three, depending on who writes them.
+SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):/+"
+
+
 @dataclass(frozen=True)
 class Corpus:
     """``docs(id, title, text)`` and ``links(src, dst, text)``.
@@ -43,6 +47,25 @@ class Corpus:
         return stored.select(F.col("id").alias("doc_id"), "title")
 
 
+def _below(root: str):
+    """The path of each row's file below ``root``, split into its components.
+
+    Spark gives paths as URIs, so both sides are decoded. A ``+`` in a path is no blank.
+    """
+    def decoded(path):
+        return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+    path = F.regexp_replace(F.col("_metadata.file_path"), SCHEME, "$1:/")
+    return F.split(F.substr(decoded(path), F.length(decoded(F.lit(root))) + 2), "/")
+
+
+def resolved(spark: SparkSession, root: str) -> str:
+    """``root`` as an encoded URI with one slash after the scheme and none at the end."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path)
+    return re.sub(SCHEME, r"\1:/", full.toUri().toString()).rstrip("/")
+
+
 def scan(
     spark: SparkSession,
     root: str,
@@ -54,13 +77,14 @@ def scan(
 
     ``glob`` keeps only the files whose name matches. Files and folders right below ``root``
     are left out if their name is in ``exclude`` or begins with one of ``exclude_prefixes``;
-    Spark drops such files before it opens them.
+    Spark drops such files before it opens them. Names are compared as they are on disk, blanks
+    and percent signs included; equal names further down are not meant.
     """
     reader = spark.read.schema(schemas.CORPUS).option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     rows = reader.parquet(root)
-    name = F.regexp_extract(F.col("_metadata.file_path"), re.escape(root.rstrip("/").rpartition("/")[2]) + "/([^/]+)", 1)
+    name = F.get(_below(resolved(spark, root)), F.lit(0))
     if exclude:
         rows = rows.filter(~name.isin(list(exclude)))
     for prefix in exclude_prefixes:
