@@ -60,40 +60,63 @@ class CountMemo:
         return self.rows[places].sum(axis=0)
 
 
-class SpanMemo:
-    """Concatenations of the integers that ``many`` gives for each of a list of words."""
+class _Spans:
+    """Lists of integers by word, in flat arrays."""
 
-    def __init__(self, many: Callable[[list[str]], list[Sequence[int]]], most: int = 300_000, values: int = 4_000_000):
-        self.many, self.most, self.values = many, most, values
+    def __init__(self) -> None:
         self.starts, self.sizes = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.flat, self.used = np.zeros(4096, np.int32), 0
         self.index: dict[str, int] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        found = self.many(words)
-        at, sizes = len(self.index), np.fromiter(map(len, found), np.int64, len(found))
-        ends = self.used + np.cumsum(sizes)
+    def add(self, words: list[str], sizes: np.ndarray, values: np.ndarray) -> None:
+        at, ends = len(self.index), self.used + np.cumsum(sizes)
         self.starts, self.sizes = _grown(self.starts, at + len(words)), _grown(self.sizes, at + len(words))
         self.starts[at : at + len(words)] = ends - sizes
         self.sizes[at : at + len(words)] = sizes
-        self.flat = _grown(self.flat, int(ends[-1]))
-        self.flat[self.used : ends[-1]] = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
-        self.used = int(ends[-1])
+        self.flat = _grown(self.flat, self.used + len(values))
+        self.flat[self.used : self.used + len(values)] = values
+        self.used += len(values)
         self.index.update(zip(words, range(at, at + len(words))))
 
+    def gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and joined values of the words at ``places``."""
+        sizes = self.sizes[places]
+        before = np.cumsum(sizes) - sizes
+        return sizes, self.flat[np.repeat(self.starts[places] - before, sizes) + np.arange(sizes.sum())]
+
+
+class SpanMemo:
+    """Concatenations of the integers that ``many`` gives for each of a list of words.
+
+    Half of the words and values may be new ones. When they are more, the new become the old and the
+    old are forgotten; an old word that comes again is new again. So frequent words stay.
+    """
+
+    def __init__(self, many: Callable[[list[str]], list[Sequence[int]]], most: int = 300_000, values: int = 4_000_000):
+        self.many, self.most, self.values = many, most // 2, values // 2
+        self.new, self.old = _Spans(), _Spans()
+
+    def _learn(self, words: list[str]) -> None:
+        again = [w for w in words if w in self.old.index]
+        if again:
+            places = np.fromiter(map(self.old.index.__getitem__, again), np.int64, len(again))
+            self.new.add(again, *self.old.gather(places))
+            words = [w for w in words if w not in self.old.index]
+        found = self.many(words)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.new.add(words, sizes, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())))
+
     def batch(self, texts: list[list[str]]) -> list[np.ndarray]:
         """The integers of each text, given as its words."""
-        if len(self.index) > self.most or self.used > self.values:
-            self.index.clear()
-            self.used = 0
-        words = list(chain.from_iterable(texts))
-        places = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        if len(self.new.index) > self.most or self.new.used > self.values:
+            self.new, self.old = _Spans(), self.new
+        words, index = list(chain.from_iterable(texts)), self.new.index
+        places = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(places < 0).tolist()
         if missing:
             self._learn(list(dict.fromkeys(words[i] for i in missing)))
-            places[missing] = [self.index[words[i]] for i in missing]
-        sizes = self.sizes[places]
+            places[missing] = [index[words[i]] for i in missing]
+        sizes, gathered = self.new.gather(places)
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        gathered = self.flat[np.repeat(self.starts[places] - ends[:-1], sizes) + np.arange(ends[-1])]
         cuts = ends[np.cumsum([0, *map(len, texts)])].tolist()
         return [gathered[a:b] for a, b in zip(cuts, cuts[1:])]

@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding as weighted finite-state transduction.
 
 Three transducers are compiled from a model file. The normaliser maps a space to the mark
-U+2581 and puts one before the text. The lexicon is a trie of all pieces whose final arcs
-emit the piece's id. Byte fallback has an arc for every other character, emitting the ids of
+U+2581 and puts one before the text. The lexicon is a trie of all pieces with failure arcs
+(Aho and Corasick), which lists the pieces at every position while it reads each character once. Byte fallback has an arc for every other character, emitting the ids of
 its UTF-8 bytes. Composing them with a text gives a lattice of positions and arcs, and the
 encoding is its shortest path in the tropical semiring.
 
@@ -10,10 +10,11 @@ For unigram models an arc weighs its piece's negative score. A pair-merge model
 minimise a sum of scores; its encodings are exactly the paths on which every two neighbours
 are stable, that is, merging their joined text gives these two pieces back. A second
 transducer, whose states are pieces, therefore weighs a stable pair 0 and any other infinity.
-Prefixes of an encoding are encodings, so one state for each position has a finite weight.
+Prefixes of an encoding are encodings, so one state for each position has a finite weight, and the
+path of weight 0 is found depth first.
 
-No piece has the mark after another character, and none has a character outside the pieces'
-alphabet. Texts are cut there, and the shortest path of each part is remembered.
+Where no piece has two neighbouring characters side by side, no arc crosses: before a mark, behind
+a run of letters. Texts are cut there, and the shortest path of each part is remembered.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import re
 import struct
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -98,14 +100,29 @@ class Transducer:
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if self.kinds[i] == BYTE}
         self.unknown = self.kinds.index(UNKNOWN)
         self.alphabet = {ch for p in self.ids for ch in p}
-        self.root = self._trie()
-        self.own = {i: self.merged(p) == [i] for p, i in self.ids.items()} if self.model == PAIR_MERGE else {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        split = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
-        # Control characters that are no piece's are cut off, which makes parts repeat more.
-        apart = "".join(re.escape(c) for c in "\n\r\t" if c not in self.alphabet)
-        part = f"{MARK}+[^{MARK}{apart}]*|[^{MARK}{apart}]+"
-        self.parts = re.compile((f"[{apart}]|{part}" if apart else part) if split else r"(?s).+")
+        self.sizes, self.names = [len(p) for p in self.pieces], list(self.pieces)
+        self.singles = {p for p in self.ids if len(p) == 1}
+        if self.model == PAIR_MERGE:
+            # Pieces that merging never gives back whole are on no path. Characters that occur in
+            # pieces only merge like pieces; their numbers follow the pieces'.
+            self.made = {i: m for p, i in self.ids.items() if (m := self._merges(p)) is not None}
+            for ch in sorted(self.alphabet - self.singles):
+                self.made[len(self.names)] = []
+                self.names.append(ch)
+                self.sizes.append(1)
+        else:
+            self.made = dict.fromkeys(self.ids.values(), [])
+        number = {self.names[i]: i for i in self.made}
+        #: The longest shorter piece that a piece begins with.
+        self.shorter = [-1] * len(self.names)
+        for p, i in number.items():
+            self.shorter[i] = next((j for k in range(len(p) - 1, 0, -1) if (j := number.get(p[:k])) is not None), -1)
+        self.lexicon = ahocorasick.Automaton()
+        for p, i in number.items():
+            self.lexicon.add_word(p, i)
+        self.lexicon.make_automaton()
+        self.pairs: dict[int, bool] = {}
+        self.parts = self._cuts()
         self.memo = SpanMemo(lambda parts: [self.path(p) for p in parts])
         self.text_of = [self._bytes_of(i) for i in range(len(self.pieces))]
 
@@ -117,14 +134,29 @@ class Transducer:
 
         return held(("pieces", path), load)
 
-    def _trie(self) -> dict:
-        root: dict = {}
-        for piece, i in self.ids.items():
-            node = root
-            for ch in piece:
-                node = node.setdefault(ch, {})
-            node[None] = i
-        return root
+    def _cuts(self) -> re.Pattern:
+        """Cuts between neighbours that no piece has side by side, which no arc can cross.
+
+        Marks begin a part, a run of letters ends one, and so does a character that no piece goes on
+        after (a digit, in many models). Each of the three is used only if the pieces allow it.
+        """
+        pairs = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        if any(b == MARK != a for a, b in pairs):
+            return re.compile(r"(?s).+")
+        letters = {c for c in self.alphabet if c.isalpha()}
+        if any(a in letters and b not in letters for a, b in pairs):
+            letters = set()
+        final = self.alphabet - {a for a, _ in pairs} - letters - {MARK}
+        # Control characters that are no piece's are parts of their own.
+        apart = {c for c in "\n\r\t" if c not in self.alphabet}
+
+        def chars(found: set[str]) -> str:
+            return "".join(map(re.escape, sorted(found)))
+
+        ends = [f"[{chars(x)}]{times}" for x, times in ((final, ""), (letters, "+")) if x]
+        end = f"(?:{'|'.join(ends)})?" if ends else ""
+        alone = f"[{chars(apart)}]|" if apart else ""
+        return re.compile(f"{alone}(?s:(?=.)){MARK}*[^{MARK}{chars(apart | letters | final)}]*{end}")
 
     def _bytes_of(self, i: int) -> bytes:
         if self.kinds[i] == BYTE:
@@ -142,68 +174,116 @@ class Transducer:
         found = [self.bytes.get(b) for b in ch.encode("utf-8", "surrogatepass")]
         return [self.unknown] if None in found else found
 
-    def merged(self, text: str) -> list[int]:
-        """Ids by merging, best score first and leftmost among equals; used on two pieces only."""
-        parts = list(text)
+    def _merges(self, piece: str) -> list[tuple[float, str, str]] | None:
+        """The merges that make a piece, in order: score, first and last part afterwards.
+
+        Best score first and leftmost among equals; None if they do not end with the whole piece.
+        """
+        parts, done = list(piece), []
         while len(parts) > 1:
             found = [(-self.scores[i], k) for k in range(len(parts) - 1) if (i := self.ids.get(parts[k] + parts[k + 1])) is not None]
             if not found:
-                break
-            k = min(found)[1]
+                return None
+            loss, k = min(found)
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
-        return [self.ids.get(p, -1) for p in parts]
+            done.append((-loss, parts[0], parts[-1]))
+        return done
 
     def stable(self, left: int, right: int) -> bool:
-        """Weight 0 of the pair transducer; -1 is the start or a character outside the alphabet."""
-        if right < 0:
-            return True
-        if left < 0:
-            return self.own[right]
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) > MOST_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[key] = self.own[right] and self.merged(self.pieces[left] + self.pieces[right]) == [left, right]
+        """Weight 0 of the pair transducer: merging the two pieces' text gives them back.
+
+        Both pieces' merges are followed side by side, best score first. The pair is unstable if the
+        parts that meet at the border can merge before either of them is taken into a longer one.
+        """
+        if len(self.pairs) > MOST_PAIRS:
+            self.pairs.clear()
+        lefts, rights = iter(self.made[left]), iter(self.made[right])
+        a, b = self.names[left][-1], self.names[right][0]
+        ids, scores = self.ids.get, self.scores
+        to_left, to_right = next(lefts, None), next(rights, None)
+        known = True
+        while True:
+            joined = ids(a + b)
+            # At equal scores the leftmost merge comes first.
+            if joined is not None and (to_left is None or scores[joined] > to_left[0]) and (to_right is None or scores[joined] >= to_right[0]):
+                known = False
+                break
+            if to_left is not None and (to_right is None or to_left[0] >= to_right[0]):
+                a, to_left = to_left[2], next(lefts, None)
+            elif to_right is not None:
+                b, to_right = to_right[1], next(rights, None)
+            else:
+                break
+        self.pairs[left << 32 | right] = known
         return known
 
     def path(self, part: str) -> list[int]:
         """Shortest path over one normalised part."""
-        n, root, merge = len(part), self.root, self.model == PAIR_MERGE
-        arcs: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
-        cost = [0.0] * (n + 1)
-        came = [(0, -1)] * (n + 1)
-        for at in range(n + 1):
-            if at:
-                if merge:
-                    for start, i in arcs[at]:
-                        if self.stable(came[start][1], i):
-                            came[at] = (start, i)
-                            break
-                    else:
-                        raise ValueError("no stable path: the model's pieces are not closed under merging")
-                else:
-                    cost[at], start, i = min((cost[s] - (self.scores[i] if i >= 0 else -FALLBACK), s, i) for s, i in arcs[at])
-                    came[at] = (start, i)
-            if at == n:
-                break
-            node, to = root, at
-            single = False
-            while to < n and (node := node.get(part[to])) is not None:
-                to += 1
-                i = node.get(None)
-                if i is not None:
-                    single |= to == at + 1
-                    arcs[to].append((at, i))
-            if not single:
-                arcs[at + 1].append((at, -1))
+        return self._merge_path(part) if self.model == PAIR_MERGE else self._score_path(part)
+
+    def _merge_path(self, part: str) -> list[int]:
+        """The path of stable pairs, searched depth first and longest piece first.
+
+        All its weights are zero, so no path is shorter. A position from which no path goes on is
+        never tried again, as the path to a position is unique.
+        """
+        n, sizes, shorter, known = len(part), self.sizes, self.shorter, self.pairs.get
+        # Pieces come by their end; of those with one start the last is the longest.
+        longest = {last - sizes[i]: i for last, i in self.lexicon.iter(part)}
+        path: list[int] = []
+        dead: set[int] = set()
+        at, left, i = 0, -1, longest.get(-1, -1)
+        while at < n:
+            while i >= 0:
+                to = at + sizes[i]
+                if to not in dead:
+                    if left < 0:
+                        break
+                    ok = known(left << 32 | i)
+                    if self.stable(left, i) if ok is None else ok:
+                        break
+                i = shorter[i]
+            if i < 0 and at - 1 not in longest and at + 1 not in dead:
+                # A character outside the alphabet.
+                to = at + 1
+            elif i < 0:
+                dead.add(at)
+                if not path:
+                    raise ValueError("no stable path: the model's pieces are not closed under merging")
+                i = path.pop()
+                at -= sizes[i] if i >= 0 else 1
+                i = shorter[i] if i >= 0 else -1
+                left = path[-1] if path else -1
+                continue
+            path.append(i)
+            at, left, i = to, i, longest.get(to - 1, -1)
+        return path if min(path, default=0) >= 0 and max(path, default=0) < len(self.pieces) else self._spelled(part, path)
+
+    def _spelled(self, part: str, path: list[int]) -> list[int]:
+        """Output of a path with characters that are no pieces."""
         ids: list[int] = []
-        at = n
+        at = 0
+        for i in path:
+            ids.extend([i] if 0 <= i < len(self.pieces) else self.fallback(part[at]))
+            at += self.sizes[i] if i >= 0 else 1
+        return ids
+
+    def _score_path(self, part: str) -> list[int]:
+        n, sizes, scores = len(part), self.sizes, self.scores
+        ending: list[list[int]] = [[] for _ in range(n + 1)]
+        for last, i in self.lexicon.iter(part):
+            ending[last + 1].append(i)
+        cost, came = [0.0] * (n + 1), [-1] * (n + 1)
+        for at in range(1, n + 1):
+            arcs = [(cost[at - sizes[i]] - scores[i], at - sizes[i], i) for i in ending[at]]
+            if part[at - 1] not in self.singles:
+                arcs.append((cost[at - 1] + FALLBACK, at - 1, -1))
+            cost[at], _, came[at] = min(arcs)
+        path, at = [], n
         while at:
-            start, i = came[at]
-            ids.extend([i] if i >= 0 else reversed(self.fallback(part[start])))
-            at = start
-        return ids[::-1]
+            path.append(came[at])
+            at -= sizes[came[at]] if came[at] >= 0 else 1
+        return self._spelled(part, path[::-1])
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_all([text])[0]
