@@ -41,12 +41,17 @@ def op3_token_store(spark: SparkSession, folder: str, tokenizer: str | None = No
 
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    samples = language.fit(docs, ~language.held_out())
+    learned = ~language.held_out()
+    samples = language.fit(docs, learned)
+    limit = language.foreign_rate(docs, samples, learned)
     found = language.identify(docs.select("doc_id", "text"), samples)
     # Written while the batches are small: a batch of very long texts would be large.
     with small_batches(spark):
         return space(spark, "language").write(
-            found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rate"), "predicted"
+            found.select(
+                "doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rate", language.is_foreign(limit).alias("foreign")
+            ),
+            "predicted",
         )
 
 

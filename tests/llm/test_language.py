@@ -57,3 +57,32 @@ def test_odd_rows(docs, empty):
     assert by_text["One two three four five six seven"] == "en"
     assert L.identify(empty, samples).collect() == [] == L.identify(empty, L.fit(empty)).collect()
     assert {r.lang_pred for r in L.identify(docs, []).collect()} == {"und"}
+
+
+def test_counts_are_those_of_the_automata(monkeypatch):
+    samples = [("x", " the of and then there he is "), ("y", " à là demain, abracadabra "), ("z", " ")]
+    texts = [" there is ", " demain ", "", " zzz abra the ☃ ", " the" * 40 + " ", " "]
+    for block in (7, 1000):
+        monkeypatch.setattr(L, "BLOCK", block)
+        for dense in (L.DENSE, 0):
+            monkeypatch.setattr(L, "DENSE", dense)
+            parser = L.Parser(samples)
+            assert (parser.table is None) == (dense == 0)
+            want = [[sum(brute_phrases(s, t[k : k + block]) for k in range(0, len(t), block)) for _, s in samples] for t in texts]
+            assert parser.counts(texts).tolist() == want
+
+
+def test_passages_are_words_of_the_text(spark):
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(3000)]
+    rows = [(i, " ".join(words[i * 10 : i * 10 + 300]), "en") for i in range(200)] + [(900 + i, "kurz", "de") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+    samples = dict(L.fit(docs))
+    assert samples["de"] == " kurz " and set(samples["en"].split()) <= set(words)
+    # Passages come from all over the texts.
+    assert len(set(samples["en"].split())) > 1000 and len(samples["en"]) <= L.LANGUAGE_CHARS
+
+
+def test_no_limit_without_further_texts(spark, docs):
+    assert L.foreign_rate(docs, []) == float("inf")
+    one = spark.createDataFrame([(1, "one text only that is long enough for a limit", "en")], "doc_id BIGINT, text STRING, lang STRING")
+    assert L.foreign_rate(one, L.fit(one)) == float("inf")
