@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.skew import hot_keys, spread_join
+from .common import space
 from .memo import held
 
 SAMPLE_ROWS = 500
@@ -45,6 +47,9 @@ FOREIGN_FACTOR = 1.9
 #: Entries of a transition table that is laid out in full, of four bytes each.
 DENSE = 40_000_000
 
+#: Names of languages and a number each; more of them are joined by shuffle.
+BROADCAST_LANGUAGES = 100_000
+
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -213,9 +218,13 @@ def _drawn(docs: DataFrame, usable: Column | None, turn: int) -> DataFrame:
     wanted, so that a frequent language's texts never meet in one task.
     """
     rows = _labelled(docs, usable)
-    share = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(8.0 * SAMPLE_ROWS) / F.count("*")).alias("share"))
+    share = rows.groupBy("lang").agg(F.count("*").alias("n"), F.least(F.lit(1.0), F.lit(8.0 * SAMPLE_ROWS) / F.count("*")).alias("share"))
+    share = space(docs.sparkSession, "language_shares").write(share, "shares")
+    hot = hot_keys(share, "lang", "n")
+    share = share.drop("n")
     spread = (F.pmod(F.col("h"), F.lit(1 << 30)) / float(1 << 30)) <= F.col("share")
-    drawn = rows.join(share, "lang").filter(spread)
+    few = share.count() <= BROADCAST_LANGUAGES
+    drawn = (rows.join(F.broadcast(share), "lang") if few else spread_join(rows, share, "lang", "h", hot)).filter(spread)
     words = F.array_join(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)), " ")
     drawn = drawn.select("lang", "h", words.alias("words")).dropDuplicates(["lang", "h"])
     # A passage begins and ends with whole words.
