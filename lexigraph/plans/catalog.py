@@ -567,6 +567,25 @@ def pagerank(t: Tables) -> DataFrame:
     return _round(t.pagerank, "pagerank")
 
 
+def _links_of_long_texts(t: Tables) -> DataFrame:
+    """Links of documents of 1,000 characters and more: shorter ones link to nothing."""
+    long = t.corpus.docs.filter(F.char_length("text") >= 1000).select(F.col("id").alias("src"))
+    return links.edges(t.corpus.links.join(long, "src", "left_semi"))
+
+
+@query
+def pagerank_sinks(t: Tables) -> DataFrame:
+    """PageRank of a graph with pages that link to nothing, whose ranks are scaled at the end."""
+    found = links.pagerank(_links_of_long_texts(t), t.workspace, name="pagerank_sinks")
+    return _round(found, "pagerank")
+
+
+@query
+def page_graph(t: Tables) -> DataFrame:
+    """Links of web pages, resolved against the page's address."""
+    return page_source.page_edges(page_source.parse_pages(t.read("pages", schemas.PAGES)))
+
+
 @query
 def pagerank_ranked(t: Tables) -> DataFrame:
     """Pages by descending PageRank."""

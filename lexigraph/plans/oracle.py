@@ -602,28 +602,34 @@ cte("found", cut("search_scores", SEARCH_RESULTS, digits=FUSED_DIGITS), "search_
 
 cte("edges", "SELECT DISTINCT src, dst FROM links", "links")
 cte(
-    "nodes",
-    """
-    SELECT id, count(src) AS outdeg
-    FROM (SELECT src AS id FROM edges UNION SELECT dst FROM edges) LEFT JOIN edges ON src = id GROUP BY id""",
-    "edges",
+    "sink_edges",
+    "SELECT DISTINCT src, dst FROM links JOIN documents ON src = doc_id WHERE length(documents.text) >= 1000",
+    "links",
 )
-cte("pr_0", "SELECT id, outdeg, CAST(1.0 AS DOUBLE) AS r FROM nodes", "nodes")
-for _i in range(1, 7):
+for _p in ("", "sink_"):
     cte(
-        f"pr_{_i}",
+        f"{_p}nodes",
         f"""
-        SELECT n.id, n.outdeg, 0.15 + 0.85 * coalesce(m.got, 0) AS r
-        FROM nodes n LEFT JOIN (
-          SELECT dst, sum(r / outdeg) AS got FROM edges JOIN pr_{_i - 1} ON src = id GROUP BY dst
-        ) m ON n.id = m.dst""",
-        "nodes", "edges", f"pr_{_i - 1}",
+        SELECT id, count(src) AS outdeg
+        FROM (SELECT src AS id FROM {_p}edges UNION SELECT dst FROM {_p}edges) LEFT JOIN {_p}edges ON src = id GROUP BY id""",
+        f"{_p}edges",
+    )
+    cte(f"{_p}pr_0", f"SELECT id, outdeg, CAST(1.0 AS DOUBLE) AS r FROM {_p}nodes", f"{_p}nodes")
+    for _i in range(1, 7):
+        cte(
+            f"{_p}pr_{_i}",
+            f"""
+            SELECT n.id, n.outdeg, 0.15 + 0.85 * coalesce(m.got, 0) AS r
+            FROM {_p}nodes n LEFT JOIN (
+              SELECT dst, sum(r / outdeg) AS got FROM {_p}edges JOIN {_p}pr_{_i - 1} ON src = id GROUP BY dst
+            ) m ON n.id = m.dst""",
+            f"{_p}nodes", f"{_p}edges", f"{_p}pr_{_i - 1}",
+        )
+    cte(
+        f"{_p}pagerank",
+        f"SELECT id, r * (SELECT count(*) / sum(r) FROM {_p}pr_6) AS pagerank FROM {_p}pr_6",
+        f"{_p}pr_6",
     )
-cte(
-    "pagerank",
-    "SELECT id, r * (SELECT count(*) / sum(r) FROM pr_6) AS pagerank FROM pr_6",
-    "pr_6",
-)
 
 
 # Ids to look up: backwards, every third again, with unknown ones.
@@ -869,6 +875,17 @@ def queries() -> dict[str, str]:
         "link_edges": _all_of("edges"),
         "link_vertices": _all_of("nodes"),
         "pagerank": sql_of("SELECT id, round(pagerank, 9) AS pagerank FROM pagerank", "pagerank"),
+        "pagerank_sinks": sql_of("SELECT id, round(pagerank, 9) AS pagerank FROM sink_pagerank", "sink_pagerank"),
+        "page_graph": f"""WITH l AS (
+              SELECT page_id, regexp_extract(url, '^([^:]+://[^/?#]*)', 1) AS site,
+                     regexp_extract(url, '^[^:]+://[^/?#]*([^?#]*/)', 1) AS folder,
+                     unnest(list_transform(list_zip(regexp_extract_all(html, {_LINK}, 1), regexp_extract_all(html, {_LINK}, 2)),
+                       lambda x: regexp_replace(trim(coalesce(x[1], '') || coalesce(x[2], '')), '#.*$', ''))) AS href FROM pages),
+            e AS (SELECT DISTINCT page_id, CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href
+                WHEN starts_with(href, '/') THEN site || href ELSE site || folder || href END AS url FROM l)
+            SELECT e.page_id, e.url, p.target FROM e LEFT JOIN (
+              SELECT regexp_replace(url, '#.*$', '') AS url, min(page_id) AS target FROM pages GROUP BY 1) p ON p.url = e.url
+            WHERE regexp_matches(e.url, '^https?://')""",
         "pagerank_ranked": sql_of(
             f"""SELECT row_number() OVER (ORDER BY {significant('pagerank')} DESC, id) AS rank, id,
               round(pagerank, 9) AS pagerank FROM pagerank""",

@@ -46,3 +46,48 @@ def page_links(parsed: DataFrame) -> DataFrame:
     return parsed.select("page_id", F.posexplode("anchors").alias("pos", "a")).select(
         "page_id", "pos", "a.href", F.col("a.text").alias("anchor")
     )
+
+
+# Scheme, host and path of a URL, as far as they are there; the fragment is left out.
+URL = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(\?[^#]*)?"
+
+
+def without_dots(path: Column) -> Column:
+    """``.`` and ``..`` segments taken out of an absolute path."""
+    none = F.array().cast("array<string>")
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.array_append(done, part))
+
+    kept = F.aggregate(F.split(path, "/"), none, step)
+    # A path that ends with a dot segment names a folder.
+    ends = F.when(path.rlike(r"(?:^|/)\.\.?$"), F.lit("/")).otherwise(F.lit(""))
+    return F.regexp_replace(F.concat(F.array_join(kept, "/"), ends), "^$", "/")
+
+
+def resolve(href: Column, base: Column) -> Column:
+    """The absolute URL that ``href`` means on the page ``base``, without its fragment."""
+    scheme, host, path, query = (F.regexp_extract(href, URL, k) for k in (1, 2, 3, 4))
+    own_scheme, own_host, own_path, own_query = (F.regexp_extract(base, URL, k) for k in (1, 2, 3, 4))
+    site = F.concat(own_scheme, F.lit("://"), own_host)
+    folder = F.regexp_extract(own_path, "^(.*/)", 1)
+    below = F.when(path.startswith("/"), path).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path))
+    return (
+        F.when(scheme != "", F.regexp_replace(href, "#.*$", ""))
+        .when(host != "", F.concat(own_scheme, F.lit("://"), host, F.when(path == "", F.lit("")).otherwise(without_dots(path)), query))
+        .when(path != "", F.concat(site, without_dots(below), query))
+        .otherwise(F.concat(site, own_path, F.when(query != "", query).otherwise(own_query)))
+    )
+
+
+def page_edges(parsed: DataFrame) -> DataFrame:
+    """``(page_id, url, target)``: the distinct URLs a page links to, and the page that has it, if any.
+
+    Of several pages at one URL the smallest id counts. Links to other schemes than the web's
+    (``mailto:`` and the like) are left out.
+    """
+    links = parsed.select("page_id", F.col("url").alias("base"), F.explode("anchors").alias("a"))
+    edges = links.select("page_id", resolve(F.trim("a.href"), F.col("base")).alias("url")).filter(F.col("url").rlike("^(?i:https?)://")).distinct()
+    pages = parsed.groupBy(F.regexp_replace("url", "#.*$", "").alias("url")).agg(F.min("page_id").alias("target"))
+    return edges.join(pages, "url", "left").select("page_id", "url", "target")

@@ -41,28 +41,27 @@ def passage_relevance(
     read in full. Passages of fewer than three words have no inner word and are compared
     with every text.
     """
-    spark = docs.sparkSession
     words = F.split("text", r"\s+")
     inner = benchmark.select(
         "item_id",
         F.explode(F.array_distinct(F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0))))).alias("word"),
     ).filter("word <> ''")
     inner = workspace.write(inner, "queries/inner_words")
-    wanted = workspace.write(inner.select("word").distinct(), "queries/wanted_words")
-    few = wanted.count() <= broadcast_rows
+    wanted = inner.select("word").distinct()
+    few = inner.count() <= broadcast_rows
     doc_words = docs.select(
         F.col("id").alias("doc_id"), F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("word")
     )
-    counted = doc_words.join(F.broadcast(wanted) if few else wanted, "word", "left_semi")
-    # Map-side sums: a frequent word sends one row for each task.
-    df = workspace.write(counted.groupBy("word").agg(F.count("*").alias("df")), "queries/word_counts")
+    # The texts are taken apart once; what is left of them are the wanted words.
+    met_words = workspace.write(doc_words.join(F.broadcast(wanted) if few else wanted, "word", "left_semi"), "queries/doc_words")
+    df = met_words.groupBy("word").agg(F.count("*").alias("df"))
     rarest = inner.join(df, "word").groupBy("item_id").agg(F.min_by("word", F.struct("df", "word")).alias("word"))
-    keyed = workspace.write(rarest, "queries/rarest_words")
-    if keyed.count() <= broadcast_rows:
-        met = doc_words.join(F.broadcast(keyed), "word")
+    if few:
+        met = met_words.join(F.broadcast(rarest), "word")
     else:
+        keyed = workspace.write(rarest, "queries/rarest_words")
         picked = df.join(keyed.select("word").distinct(), "word", "left_semi")
-        met = spread_join(doc_words, keyed, "word", "doc_id", hot_keys(picked, "word", "df"))
+        met = spread_join(met_words, keyed, "word", "doc_id", hot_keys(picked, "word", "df"))
     passages = benchmark.withColumnRenamed("text", "passage")
     candidates = workspace.write(met.join(passages, "item_id").select("doc_id", "item_id", "passage"), "queries/candidates")
     texts = docs.select(F.col("id").alias("doc_id"), "text")

@@ -1,6 +1,7 @@
 """Metrics and lookups worked out by hand."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexigraph.operators import evaluation, lookup
 from lexigraph.sources.pageviews import monthly_views
@@ -77,3 +78,38 @@ def test_relevance_is_whole_passage_containment(spark):
     passages = spark.createDataFrame([(10, "one two three")], "item_id BIGINT, text STRING")
     got = passage_relevance(passages, docs, Workspace(spark, "relevance test"))
     assert sorted(map(tuple, got.collect())) == [(20, 1), (20, 3), (21, 1), (21, 3)]
+
+
+@pytest.mark.parametrize(
+    "href,url",
+    [
+        ("/a/b", "https://x.org/a/b"),
+        ("c.html?q=1#top", "https://x.org/d/c.html?q=1"),
+        ("../up", "https://x.org/up"),
+        ("../../../far", "https://x.org/far"),
+        ("./same", "https://x.org/d/same"),
+        ("a/./b/../c/", "https://x.org/d/a/c/"),
+        ("..", "https://x.org/"),
+        ("//y.net/p/../q", "https://y.net/q"),
+        ("//y.net", "https://y.net"),
+        ("http://z.com/a#b", "http://z.com/a"),
+        ("mailto:a@b.c", "mailto:a@b.c"),
+        ("?page=2", "https://x.org/d/e.html?page=2"),
+        ("#here", "https://x.org/d/e.html?old=1"),
+        ("", "https://x.org/d/e.html?old=1"),
+    ],
+)
+def test_links_are_resolved(spark, href, url):
+    from lexigraph.sources.pages import resolve
+
+    row = spark.createDataFrame([(href, "https://x.org/d/e.html?old=1#f")], "href STRING, base STRING")
+    assert row.select(resolve(F.col("href"), F.col("base"))).first()[0] == url
+
+
+def test_page_edges_name_the_page(spark):
+    from lexigraph.sources.pages import page_edges, parse_pages
+
+    rows = [(1, "http://s/a/", '<a href="b">x</a><a href="/a/b#z">y</a><a href="mailto:q@r">z</a>'), (2, "http://s/a/b#t", "<a href='../none'>x</a>"), (3, "http://s/a/b", None)]
+    pages = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING")
+    got = sorted(tuple(r) for r in page_edges(parse_pages(pages)).collect())
+    assert got == [(1, "http://s/a/b", 2), (2, "http://s/none", None)]
