@@ -92,7 +92,7 @@ class SpanMemo:
     old are forgotten; an old word that comes again is new again. So frequent words stay.
     """
 
-    def __init__(self, many: Callable[[list[str]], list[Sequence[int]]], most: int = 300_000, values: int = 4_000_000):
+    def __init__(self, many: Callable[[list[str]], list[Sequence[int]]], most: int = 160_000, values: int = 2_500_000):
         self.many, self.most, self.values = many, most // 2, values // 2
         self.new, self.old = _Spans(), _Spans()
 
