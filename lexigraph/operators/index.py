@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 from functools import cached_property
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,9 @@ from pyspark.sql import functions as F
 from ..workspace import Workspace
 from .skew import ROWS_PER_TASK, hot_keys, spread_join
 
+if TYPE_CHECKING:
+    from .block_max import Blocks
+
 MANIFEST = "component STRING, statistics STRING, min_df BIGINT, profile STRING"
 # From this many files on, a query table opens only those that hold its terms.
 DIRECTORY_FILES = 32
@@ -52,6 +56,8 @@ class Index:
     n_removed: int = 0
     # Postings bucketed by term, for query tables too large to broadcast.
     buckets: Buckets | None = None
+    # Postings in blocks with maxima (``block_max``), for top-k searches.
+    blocks: Blocks | None = None
 
     @cached_property
     def _corpus(self):
@@ -103,6 +109,7 @@ class Index:
             corpus_stats=other.corpus_stats,
             other_lengths=other.doc_stats.select("doc_id", "doc_len"),
             buckets=None,
+            blocks=None,
         )
 
     @cached_property

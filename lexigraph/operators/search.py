@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import tokens
 from ..functions.scores import BM25_B, BM25_K, bm25_part, ratio
 from ..workspace import Workspace
+from . import block_max
 from .analyze import QUERY, UNSTEMMED, Profile, counts
 from .index import Index, squared_norms
 from .ranking import min_max_normalize, rank_all, top_k
@@ -206,16 +207,17 @@ def bm25(
     b: float = BM25_B,
     queries: TermTable | None = None,
 ) -> DataFrame:
-    """BM25 with idf = log2(N / df); a repeated query word counts each time."""
-    part = F.col("qtf") * bm25_part(
-        F.col("tf"),
-        F.col("doc_len"),
-        index.idf(),
-        index.avgdl if avgdl is None else avgdl,
-        k1,
-        b,
-    )
-    scored = _sum_scores(hits(index, queries or batch.terms).withColumn("part", part))
+    """BM25 with idf = log2(N / df); a repeated query word counts each time.
+
+    An index with blocks reads those alone that may hold one of the first ``k``.
+    """
+    avgdl = index.avgdl if avgdl is None else avgdl
+    queries = queries or batch.terms
+    if index.blocks is not None:
+        scored = block_max.best(index, queries, batch.workspace, k, queries.size <= BROADCAST_ROWS, avgdl, k1, b)
+    else:
+        part = F.col("qtf") * bm25_part(F.col("tf"), F.col("doc_len"), index.idf(), avgdl, k1, b)
+        scored = _sum_scores(hits(index, queries).withColumn("part", part))
     return min_max_normalize(top_k(scored, k))
 
 

@@ -15,6 +15,7 @@ from ..functions.stem import stem_array
 from ..operators import evaluation, fusion, links, lookup, search
 from ..operators import index as ix
 from ..operators.analyze import INDEX, QUERY, Profile, positions, spread
+from ..operators.block_max import block_postings
 from ..operators.build import IndexSet
 from ..operators.ranking import min_max_normalize, rank_all
 from ..operators.search import QueryBatch
@@ -430,6 +431,12 @@ def bm25_search(t: Tables) -> DataFrame:
     return _ranked(search.bm25(t.indexes.index("body"), t.batch))
 
 
+@query
+def bm25_blocks(t: Tables) -> DataFrame:
+    """BM25 over blocks of postings whose maxima tell which of them can hold a result."""
+    return _ranked(search.bm25(block_postings(t.indexes.index("body"), t.workspace, "body"), t.batch))
+
+
 @query
 def bm25_fixed_avgdl(t: Tables) -> DataFrame:
     """BM25 with a given mean length instead of the index's own."""

@@ -852,6 +852,7 @@ def queries() -> dict[str, str]:
         "cosine_search": _scored("cosine_mm"),
         "cosine_unnormalized": _scored("dot_body", 11),
         "bm25_search": _scored("bm25_mm"),
+        "bm25_blocks": _scored("bm25_mm"),
         "bm25_fixed_avgdl": _scored("bm25_fixed_mm"),
         "bm25_extended_stems": _scored(extended("bm25_mm")),
         "bm25_all_terms": _scored("bm25_all_mm"),
