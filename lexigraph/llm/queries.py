@@ -172,29 +172,39 @@ FROM ended GROUP BY conv_id""",
 
 
 def _license_sql() -> str:
-    known = "[" + ", ".join(f"'{s}'" for s in licenses.SENTENCES.values()) + "]"
-    cuts = {"l": r"[.!?]+[ \t-\r]+|[\n\r]+", "f": r"[.!?]+[ \t-\r]+|\n[ \t\r]*\n"}
+    quoted = lambda names: "[" + ", ".join(f"'{s}'" for s in names) + "]"
+    known, spdx = quoted(licenses.SENTENCES.values()), quoted(name.lower() for name in licenses.SPDX)
+    bare = "lower(coalesce(text, ''))"
+    for pattern, to in licenses.STEPS:
+        bare = f"regexp_replace({bare}, '{pattern}', '{to.format('', chr(92) + '1', chr(92) + '2')}', 'g')"
+    cuts = {"l": licenses.LINE_ENDS, "f": licenses.WRAPPED_ENDS}
     parts = ",\n".join(
-        rf"""regexp_replace(',' || array_to_string(list_transform(
-      string_split(regexp_replace(regexp_replace(lower(coalesce(text, '')), '{ends}', chr(1), 'g'), '[^a-z0-9.\x01]+', ' ', 'g'), chr(1)),
-      lambda s: coalesce(list_position({known}, trim(s, ' .')), 0)), ',') || ',', '(,0)+,', ',0,', 'g') AS {name}"""
+        rf"""regexp_replace(',' || array_to_string(list_transform(list_filter(list_transform(
+      string_split(regexp_replace(regexp_replace(bare, '{ends}', chr(1), 'g'), '[^a-z0-9.\x01]+', ' ', 'g'), chr(1)),
+      lambda s: trim(s, ' .')), lambda s: s <> ''),
+      lambda s: coalesce(list_position({known}, s), 0)), ',') || ',', '(,0)+,', ',0,', 'g') AS {name}"""
         for name, ends in cuts.items()
     )
-    steps, last = [f"r0 AS (SELECT doc_id, l, f, l || '0' || f AS seq, []::VARCHAR[] AS names FROM cut)"], 0
-    for k, (name, seq) in enumerate(licenses.RULES, 1):
+    words = f"flatten(list_transform(regexp_extract_all(bare, '{licenses.TAG}', 1), lambda t: regexp_split_to_array(t, '{licenses.TAG_WORDS}')))"
+    named = f"list_filter(list_transform({words}, lambda w: coalesce(list_position({spdx}, w), 0)), lambda n: n > 0)"
+    parts += f""",
+'0,' || coalesce(array_to_string(list_transform({named}, lambda n: (n + {len(licenses.SENTENCES)})::VARCHAR || ',0,'), ''), '') AS g"""
+    steps, last = [f"r0 AS (SELECT doc_id, l, f, g, l || '0' || f || g AS seq, []::VARCHAR[] AS names FROM cut)"], 0
+    for k, (name, seq) in enumerate(licenses.RULES + licenses.TAG_RULES, 1):
         rule = "," + ",".join(str(licenses.NUMBER[s]) for s in seq) + ","
         steps.append(
-            f"r{k} AS (SELECT doc_id, l, f, replace(seq, '{rule}', ',0,') AS seq, "
+            f"r{k} AS (SELECT doc_id, l, f, g, replace(seq, '{rule}', ',0,') AS seq, "
             f"CASE WHEN contains(seq, '{rule}') THEN list_append(names, '{name}') ELSE names END AS names FROM r{last})"
         )
         last = k
     rules = ",\n".join(steps)
     unique = "list_filter(names, lambda x, i: list_position(names, x) = i)"
     count = "len(regexp_extract_all({}, '[1-9][0-9]*'))"
-    return f"""WITH cut AS (SELECT doc_id, {parts} FROM documents),
+    return f"""WITH bared AS (SELECT doc_id, {bare} AS bare FROM documents),
+cut AS (SELECT doc_id, {parts} FROM bared),
 {rules}
 SELECT doc_id, coalesce(array_to_string({unique}, ','), '') AS licenses,
-       greatest({count.format('l')}, {count.format('f')})::BIGINT AS license_sentences FROM r{last}"""
+       (greatest({count.format('l')}, {count.format('f')}) + {count.format('g')})::BIGINT AS license_sentences FROM r{last}"""
 
 
 SQL["op9_licenses"] = _license_sql()
