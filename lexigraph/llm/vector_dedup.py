@@ -100,6 +100,14 @@ def _code(bits: int, tables: int, seed: int):
     return run
 
 
+def scaled(vector: np.ndarray) -> np.ndarray:
+    """The vector times the power of two that brings its largest component to 0.5 up to 1.
+
+    Exact, so no cosine changes, and squares neither overflow nor vanish.
+    """
+    return np.ldexp(vector, -np.frexp(np.abs(vector).max())[1])
+
+
 def linked(vectors: np.ndarray, codes: np.ndarray, factors: np.ndarray, threshold: float, seed: int, split: int = 0):
     """Pairs ``(i, j)``, i < j, with exact cosine at the threshold or above.
 
@@ -204,7 +212,8 @@ def near_duplicates(
     ``n_links`` counts the other vectors with a cosine at the threshold or above among those
     that share a key; ``component_id`` is the smallest ``vec_id`` reachable. Vectors that are
     null, empty, zero or hold null or non-finite components link with nothing, and so do
-    vectors of different lengths. Equal vectors are compared once, with their number. A null
+    vectors of different lengths. Equal vectors, and such as differ by a power of two,
+    are compared once, with their number; components may have any magnitude. A null
     ``vec_id`` has no component of its own. Other columns are ignored.
     """
     spark = vectors.sparkSession
@@ -216,7 +225,7 @@ def near_duplicates(
 
     def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            vec = [None if v is None else np.asarray(v, "<f8").tobytes() for v in rows.column("v").to_pylist()]
+            vec = [None if v is None else scaled(np.asarray(v, "<f8")).tobytes() for v in rows.column("v").to_pylist()]
             yield pa.RecordBatch.from_arrays([rows.column("vec_id"), pa.array(vec, pa.binary())], ["vec_id", "vec"])
 
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.when(fine, values).alias("v"))

@@ -77,3 +77,24 @@ def test_odd_rows(spark):
     alone = {i: (0, i) for i in (1, 2, 3, 4, 5, 11, 12, None)}
     assert result(V.near_duplicates(df)) == alone | {6: (1, 6), 7: (1, 6), 8: (2, 8), 9: (2, 8), 10: (2, 8)}
     assert V.near_duplicates(df.filter("false")).collect() == []
+
+
+def test_any_magnitude(spark):
+    rng = np.random.default_rng(9)
+    a, b = rng.normal(size=(2, 32))
+    near = a + 0.05 * rng.normal(size=32)
+    vectors = [a * 1e-200, near * 1e200, a * 1e-200, b * 1e-300, b * 2.0**900, [5e-324] + [0.0] * 31, [1.0] + [0.0] * 31, -a * 1e150]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    want = {0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (1, 3), 4: (1, 3), 5: (1, 5), 6: (1, 5), 7: (0, 7)}
+    assert result(V.near_duplicates(df)) == want
+
+
+def test_scaling_is_exact():
+    rng = np.random.default_rng(1)
+    for size in (1e-200, 1e-30, 1.0, 3e100):
+        v = rng.normal(size=8) * size
+        got = V.scaled(v)
+        assert 0.5 <= np.abs(got).max() < 1
+        ratio = got / v
+        assert (ratio == ratio[0]).all() and np.frexp(ratio[0])[0] == 0.5
