@@ -24,7 +24,7 @@ from ..functions.scores import REFERENCE_AVGDL
 from ..sources import corpus as corpora
 from ..sources import pages as page_source
 from ..sources import queries as query_source
-from ..sources.pageviews import monthly_views
+from ..sources.pageviews import monthly_views, views_by_title, views_of_pages, write_log
 from ..workspace import Workspace
 
 DIGITS = 9
@@ -612,6 +612,18 @@ def pageview_lookup(t: Tables) -> DataFrame:
     return lookup.pageviews_of(t.ids, views)
 
 
+@query
+def pageviews_by_title(t: Tables) -> DataFrame:
+    """Views of pages from a log that knows titles only, spelled with underscores."""
+    events = t.read("events", schemas.EVENTS).filter(F.col("event_type") == "view")
+    seen = events.select("ts", F.get_json_object("props", "$.k").cast("bigint").alias("doc_id"))
+    log = seen.join(t.corpus.titles(), "doc_id").select(F.replace("title", F.lit(" "), F.lit("_")).alias("title"), "ts")
+    path = t.workspace.fresh("view_log")
+    write_log(log, path)
+    month = VIEW_MONTH[:7]
+    return views_of_pages(views_by_title(t.spark, path, month, month), t.corpus.titles())
+
+
 # Evaluation
 
 

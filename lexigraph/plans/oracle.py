@@ -902,6 +902,14 @@ def queries() -> dict[str, str]:
             SELECT pos, doc_id, coalesce(views, 0) AS views FROM wanted LEFT JOIN (
             SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS doc_id, count(*) AS views FROM events
             WHERE event_type = 'view' AND date_trunc('month', ts) = DATE '{VIEW_MONTH}' GROUP BY 1) USING (doc_id)""",
+        "pageviews_by_title": sql_of(
+            f"""SELECT f.doc_id, count(*) AS views
+            FROM events JOIN docs d ON d.id = CAST(json_extract_string(props, '$.k') AS BIGINT)
+            JOIN (SELECT replace(title, '_', ' ') AS name, min(id) AS doc_id FROM docs GROUP BY 1) f
+              ON f.name = replace(d.title, '_', ' ')
+            WHERE event_type = 'view' AND date_trunc('month', ts) = DATE '{VIEW_MONTH}' GROUP BY 1""",
+            "docs",
+        ),
         "relevance": _all_of("qrels"),
         "precision_at_5": sql_of("SELECT query_id, round(precision, 9) AS precision FROM m_p5", "m_p5"),
         "recall": sql_of("SELECT query_id, round(recall, 9) AS recall FROM m_recall", "m_recall"),
