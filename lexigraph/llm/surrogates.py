@@ -1,25 +1,33 @@
 """Keyed, type-consistent surrogates for personal data.
 
-Detected: e-mail addresses, phone numbers, IPv4 addresses, payment card and account numbers
-(13 to 19 digits), IBANs, US social security numbers, access keys, hexadecimal and assigned
-secrets, and persons named with a title or a known given name. Every mention has a kind and a canonical form that its
+Detected: e-mail addresses, phone numbers (international, North American, and national ones that begin
+with 0), IPv4 and IPv6 addresses, payment card numbers (13 to 19 digits with a valid check digit), IBANs,
+US social security numbers, access keys, hexadecimal and assigned secrets, and persons: names that
+follow titles, and known given names followed by a family name. In a text that names a
+person so, every further occurrence of the name's parts, and known given names alone, are mentions too.
+Given names are known from a list that the caller may extend.
+
+Every mention has a kind and a canonical form that its
 spellings share: the digits of a number, an address in lower case, each part of a name. A
 surrogate is drawn from a keyed hash of kind and canonical form, so that equal entities get
 equal surrogates in all documents and in every run with the same key, and is written in
 the way the mention was: separators, letter case and lengths stay. Card numbers keep their
 first digit and a valid check digit, phone numbers their country code, IBANs their country
-and valid check digits; names keep gender and script.
+and valid check digits; names keep gender and script. The gender of a given name that is not listed
+is what all its titles in the corpus agree on; it is no part of the name's identity.
 
 Distinctness is checked over all documents: two entities that draw the same surrogate, or a
 surrogate that is itself an entity of the corpus, draw again until all differ. Only entities
-that had to draw again are listed; texts are rewritten in place from the key and this list.
+that had to draw again, or got their gender from elsewhere in the corpus, are listed; texts are
+rewritten in place from the key and this list.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from functools import lru_cache
 
 import pandas as pd
@@ -42,8 +50,8 @@ TITLES = {
 }
 # Given names by script and gender, for detection and as surrogates.
 GIVEN = {
-    ("latin", "m"): "James John Robert Michael David Thomas Daniel Peter Stefan Klaus Jürgen Wolfgang Pierre Jacques Antoine Julien Carlos Miguel Javier Pablo Sergio".split(),
-    ("latin", "f"): "Mary Maria Patricia Jennifer Elizabeth Susan Sarah Anna Sabine Ursula Monika Heike Camille Isabelle Nathalie Sophie Carmen Lucía Elena Pilar Dolores".split(),
+    ("latin", "m"): "James John Robert Michael David Thomas Daniel Peter Stefan Klaus Jürgen Wolfgang Pierre Jacques Antoine Julien Carlos Miguel Javier Pablo Sergio William Richard Joseph Christopher Andrew Hans Markus Andreas Luca Marco Giuseppe Paolo Ahmed Mohammed Omar Hassan Raj Arjun Wei Hiroshi Kenji Piotr Lars".split(),
+    ("latin", "f"): "Mary Maria Patricia Jennifer Elizabeth Susan Sarah Anna Sabine Ursula Monika Heike Camille Isabelle Nathalie Sophie Carmen Lucía Elena Pilar Dolores Linda Barbara Karen Nancy Emily Laura Claudia Birgit Petra Marie Giulia Chiara Francesca Fatima Aisha Leila Priya Anjali Mei Yuki Keiko Agnieszka Ingrid Astrid".split(),
     ("cyrillic", "m"): "Иван Алексей Дмитрий Сергей Николай Михаил Павел Андрей".split(),
     ("cyrillic", "f"): "Мария Анна Елена Ольга Наталья Татьяна Ирина Светлана".split(),
 }
@@ -55,7 +63,14 @@ FAMILY = {
 
 TITLE_GENDER = {t: g for g, titles in TITLES.items() for t in titles}
 NAME_GENDER = {n: g for (_, g), names in GIVEN.items() for n in names}
-NAMES = frozenset(NAME_GENDER)
+#: Titles as they are looked up; most are also read in capitals.
+TITLE_FORMS = TITLE_GENDER | {t.upper(): g for t, g in TITLE_GENDER.items() if t not in ("Don", "Miss", "Sir", "Lady")}
+# Particles that may stand before a family name; they are no part of it.
+PARTICLES = frozenset("von van der den de del della di da du la le zu".split())
+# Country codes of two digits; 1 and 7 have one digit, the others three.
+TWO_DIGIT_CODES = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
 
 EMAIL = re.compile(r"(?<![\w.+%-])[\w+%-]+(?:\.[\w+%-]+)*@(?:[^\W_](?:[\w-]*[^\W_])?\.)+[^\W\d_]{2,}")
 IPV4 = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\w|\.\d)")
@@ -64,18 +79,22 @@ SECRET = re.compile(r"(?<!\w)(?=[a-fA-F]*\d)(?=\d*[a-fA-F])[0-9a-fA-F]{24,}(?!\w
 ACCESS_KEY = re.compile(r"(?<!\w)(?:AKIA|ASIA)[0-9A-Z]{16}(?!\w)")
 # What a password, token or key is introduced by.
 ASSIGNED = ("password", "passwd", "pwd", "secret", "token", "api_key", "api-key", "apikey")
-PASSWORD = re.compile(r"(?i)(?<![^\W_])(?:" + "|".join(ASSIGNED) + r")[\"']?[ \t]*[=:][ \t]*[\"']?([\w/+=-]{6,})")
+PASSWORD = re.compile(
+    r"(?i)(?<![^\W_])(?:" + "|".join(ASSIGNED) + r")[\"']?[ \t]*[=:][ \t]*"
+    r"(?:\"([^\"\n]{6,})\"|'([^'\n]{6,})'|[\"']?([^\s\"',;]{5,}[^\s\"',;.:!?)\]}>]))"
+)
 CARD = re.compile(r"(?<![\w+])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{5})(?!\w)")
 SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
 PHONE = re.compile(
-    r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)"
+    r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\w)"
     r"|(?<![\w+])(?:\(\d{3,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)|(?<![\w+])\+\d{9,15}(?!\w)"
+    r"|(?<![\w+.,/-])0[1-9](?:[ .-]\d{2}){4}(?![\w-])|(?<![\w+.,/-])(?:0\d{1,4}|\(0\d{1,4}\))[ /-]\d{5,8}(?![\w-])"
 )
-TITLED = re.compile(
-    r"(?<!\w)(" + "|".join(sorted(TITLE_GENDER, key=len, reverse=True)) + r")\b\.?[ \t]+([^\W\d_][^\W\d_'’-]+(?:[ \t]+[^\W\d_][^\W\d_'’-]+)?)"
-)
+IPV6 = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:])")
 WORDS = re.compile(r"\w+")
-CALLED = re.compile(r"(?<!\w)(" + "|".join(sorted(NAMES, key=len, reverse=True)) + r")[ \t]+([^\W\d_][^\W\d_'’-]+)")
+NAME_WORDS = re.compile(r"[^\W\d_]+(?:['’-](?![sS]\b)[^\W\d_]+)*")
+BETWEEN = re.compile(r"[ \t]+")
+AFTER_TITLE = re.compile(r"\.?[ \t]+")
 
 
 def luhn(digits: str) -> int:
@@ -92,28 +111,87 @@ def script(word: str) -> str:
     return "cyrillic" if "Ѐ" <= word[:1] <= "ӿ" else "latin" if word[:1] < "ɐ" else "other"
 
 
-def _names(text: str) -> Iterator[tuple[int, int, str, str]]:
-    found = []
-    if any(t in text for t in TITLE_GENDER):
-        found += [(m, TITLE_GENDER[m[1]], m.start(2), m[2]) for m in TITLED.finditer(text)]
-    # A name of CALLED is a whole run of word characters.
-    if not NAMES.isdisjoint(WORDS.findall(text)):
-        found += [(m, NAME_GENDER[m[1]], m.start(), m[0]) for m in CALLED.finditer(text)]
-    for m, gender, at, name in found:
-        parts = list(re.finditer(r"\S+", name))
-        parts = [p for p in parts if p[0][0].isupper()]
-        if not parts or parts[0].start():
-            continue
-        for k, p in enumerate(parts):
-            first = NAME_GENDER.get(p[0].title()) if k == 0 else None
-            given = first or (gender if k == 0 and len(parts) > 1 else None)
-            # Only in Cyrillic do family names differ by gender.
-            marked = gender if script(p[0]) == "cyrillic" else "n"
-            kind = f"given:{script(p[0])}:{given}" if given else f"family:{script(p[0])}:{marked}"
-            yield at + p.start(), at + p.end(), kind, p[0].casefold()
+def country_code(digits: str) -> str:
+    return digits[:1] if digits[:1] in "17" else digits[:2] if digits[:2] in TWO_DIGIT_CODES else digits[:3]
+
+
+def _capital(word: str) -> bool:
+    return word[0].isupper() or script(word) == "other"
+
+
+def _gender(word: str, names: Mapping[str, str]) -> str | None:
+    """The gender of a given name, also of compounds and in capitals; None for other words."""
+    if word in names:
+        return names[word]
+    parts = re.split("['’-]", word)
+    if not all(p[0].isupper() for p in parts):
+        return None
+    return names.get(parts[0]) or (names.get(parts[0].title()) if len(parts[0]) > 1 and parts[0].isupper() else None)
+
+
+def _given(word: str, gender: str) -> tuple[str, str]:
+    return f"given:{script(word)}:{gender}", word.casefold()
+
+
+def _family(word: str) -> tuple[str, str]:
+    # Only in Cyrillic do family names differ by gender, and they show it themselves.
+    low = word.casefold()
+    return f"family:{script(word)}:{('f' if low[-1] in 'ая' else 'm') if script(word) == 'cyrillic' else 'n'}", low
 
 
-def mentions(text: str) -> list[tuple[int, int, str, str]]:
+def _names(text: str, names: Mapping[str, str]) -> Iterator[tuple[int, int, str, str]]:
+    """The parts of persons' names: after titles, given names with a family name, then their parts anywhere."""
+    seen = set(WORDS.findall(text))
+    if seen.isdisjoint(TITLE_FORMS) and seen.isdisjoint(names) and not any(w.isupper() and w.title() in names for w in seen):
+        return
+    words = list(NAME_WORDS.finditer(text))
+    persons: dict[str, tuple[str, str]] = {}
+
+    def joined(k: int, gap: re.Pattern = BETWEEN) -> bool:
+        """Whether word ``k`` follows the one before with nothing but ``gap`` between."""
+        return k < len(words) and gap.fullmatch(text, words[k - 1].end(), words[k].start()) is not None
+
+    k = 0
+    while k < len(words):
+        gender, at = None, k
+        while at < len(words) and words[at][0] in TITLE_FORMS and joined(at + 1, AFTER_TITLE):
+            gender = TITLE_FORMS[words[at][0]] if gender in (None, "n") else gender
+            at += 1
+        own = _gender(words[at][0], names)
+        if not _capital(words[at][0]) or (gender is None and not own):
+            k = max(k + 1, at)
+            continue
+        given, k = [at], at + 1
+        # Further given names, then particles and one family name.
+        while own and joined(k) and _gender(words[k][0], names):
+            given.append(k)
+            k += 1
+        last = k
+        while joined(last) and words[last][0] in PARTICLES:
+            last += 1
+        if joined(last) and _capital(words[last][0]):
+            k = last + 1
+            persons.setdefault(words[last][0].casefold(), _family(words[last][0]))
+        elif len(given) > 1 or (gender is not None and not own):
+            # The last name is the family's: two given names, or one unknown name after a title.
+            word = words[given.pop()][0]
+            persons.setdefault(word.casefold(), _family(word))
+        elif gender is None:
+            continue
+        for g in given:
+            word = words[g][0]
+            persons.setdefault(word.casefold(), _given(word, _gender(word, names) or gender or "n"))
+    if persons:
+        for m in words:
+            if _capital(m[0]):
+                found = persons.get(m[0].casefold())
+                if found is None and (gender := _gender(m[0], names)):
+                    found = _given(m[0], gender)
+                if found:
+                    yield *m.span(), *found
+
+
+def mentions(text: str, names: Mapping[str, str] = NAME_GENDER) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, canonical)`` in order, none overlapping; earlier patterns win."""
     found: list[tuple[int, int, str, str]] = []
     if "@" in text:
@@ -128,20 +206,26 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
                     plain = m[0].lower() if kind == "secret" else m[0]
                 elif kind == "iban" and iban_check(plain[:2], plain[4:]) != plain[2:4]:
                     continue
-                elif kind == "card" and len(plain) < len(m[0]) and luhn(plain[:-1]) != int(plain[-1]):
-                    continue  # groups of four digits may be years
-                elif kind == "phone" and len(plain) < 9:
+                elif kind == "card" and luhn(plain[:-1]) != int(plain[-1]):
+                    continue  # time stamps, counters, groups of years
+                elif kind == "phone" and not 9 <= len(plain) <= 15:
                     continue
                 elif kind == "phone" and m[0][0] == "+":
-                    code = re.match(r"\+(\d{1,3})(?=[ .(-])", m[0])
-                    kind_here = f"phone+{code[1] if code else plain[:1]}"
-                    found.append((*m.span(), kind_here, plain))
+                    found.append((*m.span(), f"phone+{country_code(plain)}", plain))
                     continue
                 found.append((*m.span(), kind, plain))
+    if "::" in text or text.count(":") > 6:
+        for m in IPV6.finditer(text):
+            # A scope operator between short words is no address.
+            if re.search(r"\d", m[0]) and m[0].count(":") > 2 - ("::" in m[0]) and len(m[0]) > 6:
+                try:
+                    found.append((*m.span(), "ipv6", str(ipaddress.IPv6Address(m[0]))))
+                except ValueError:
+                    pass
     low = text.lower()
     if any(word in low for word in ASSIGNED):
-        found += [(*m.span(1), "password", m[1]) for m in PASSWORD.finditer(text)]
-    found += _names(text)
+        found += [(*m.span(m.lastindex), "password", m[m.lastindex]) for m in PASSWORD.finditer(text)]
+    found += _names(text, names)
     kept: list[tuple[int, int, str, str]] = []
     taken: list[tuple[int, int]] = []
     for one in found:
@@ -156,7 +240,9 @@ class Stream:
 
     def __init__(self, key: bytes, *parts: str | int):
         seed = "\x1f".join(map(str, parts)).encode("utf-8", "surrogatepass")
-        self.seed = hashlib.blake2b(seed, key=key[:64], digest_size=64).digest()
+        if len(key) > hashlib.blake2b.MAX_KEY_SIZE:
+            key = hashlib.blake2b(key).digest()
+        self.seed = hashlib.blake2b(seed, key=key, digest_size=64).digest()
         self.value = int.from_bytes(self.seed, "big")
         self.left, self.turn = 1 << 512, 0
 
@@ -178,12 +264,18 @@ class Stream:
         return "".join(out)
 
 
+def identity(kind: str) -> str:
+    """The kind without the gender."""
+    return kind.rpartition(":")[0] if kind.startswith("given:") else kind
+
+
 @lru_cache(100_000)
 def surrogate(key: bytes, kind: str, canonical: str, draw: int) -> str:
     """The canonical form of an entity's surrogate at its ``draw``-th draw, never itself."""
     more = max(0, draw - DRAWS + 1)
     for again in range(64):
-        made = _draw(Stream(key, kind, canonical, draw, again), key, kind, canonical, more)
+        # The gender of a name picks from what is drawn; it is no part of the draw.
+        made = _draw(Stream(key, identity(kind), canonical, draw, again), key, kind, canonical, more)
         if made != canonical:
             break
     return made
@@ -201,6 +293,9 @@ def _draw(stream: Stream, key: bytes, kind: str, text: str, more: int) -> str:
         spans = {1: (0, 10), 2: (10, 90), 3: (100, 156)}
         octets = [(0, 256) if more else spans[len(x)] for x in text.split(".")]
         return ".".join(str(a + stream.below(n)) for a, n in octets)
+    if kind == "ipv6":
+        groups = stream.like(text if not more else str(ipaddress.IPv6Address(stream.value % (1 << 128))), hexadecimal=True)
+        return str(ipaddress.IPv6Address(groups))
     if kind == "iban":
         body = "".join(stream.like(c).upper() for c in text[4:] + "0" * more)
         return text[:2] + iban_check(text[:2], body) + body
@@ -239,6 +334,9 @@ def written(kind: str, surface: str, made: str) -> str:
         return "-".join(p[:1].upper() + p[1:] for p in made.split("-"))
     if kind in ("key", "password"):
         return made
+    if kind == "ipv6":
+        made = ipaddress.IPv6Address(made).exploded if len(surface) == 39 else made
+        return made.upper() if any(c.isupper() for c in surface) else made
     if kind in ("email", "ipv4"):
         upper = surface.isupper()
         if upper or len(made) != len(surface):
@@ -258,25 +356,32 @@ def written(kind: str, surface: str, made: str) -> str:
     return text
 
 
-def rewrite(text: str, key: bytes, redrawn: dict[tuple[str, str], int]) -> tuple[str, list[str]]:
-    """The text with all mentions replaced, and their kinds."""
+def rewrite(
+    text: str, key: bytes, listed: Mapping[tuple[str, str], tuple[str, int]], names: Mapping[str, str] = NAME_GENDER
+) -> tuple[str, list[str]]:
+    """The text with all mentions replaced, and their kinds.
+
+    ``listed`` gives the kind and draw of entities by identity and canonical form, where they are not
+    the mention's kind and the first draw.
+    """
     out, at, kinds = [], 0, []
-    for start, end, kind, canonical in mentions(text):
-        made = surrogate(key, kind, canonical, redrawn.get((kind, canonical), 0))
+    for start, end, kind, canonical in mentions(text, names):
+        kind, draw = listed.get((identity(kind), canonical), (kind, 0))
+        made = surrogate(key, kind, canonical, draw)
         out += [text[at:start], written(kind, text[start:end], made)]
         at = end
         kinds.append(re.split("[:+]", kind)[0])
     return "".join(out) + text[at:], kinds
 
 
-def found_in(docs: DataFrame) -> DataFrame:
+def found_in(docs: DataFrame, names: Mapping[str, str] = NAME_GENDER) -> DataFrame:
     """``text_key, kind, canonical``: the entities of each distinct text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
             columns = ([], [], [])
             for key, text in zip(rows.column("text_key").to_pylist(), rows.column("text").to_pylist()):
-                for kind, canonical in {m[2:] for m in mentions(text)}:
+                for kind, canonical in {m[2:] for m in mentions(text, names)}:
                     for column, value in zip(columns, (key, kind, canonical)):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
@@ -323,30 +428,54 @@ def redraws(entities: DataFrame, key: bytes, work) -> DataFrame:
     return empty if moved is None else moved
 
 
-def replace_entities(docs: DataFrame, key: bytes) -> DataFrame:
+def resolved(found: DataFrame) -> DataFrame:
+    """``identity, canonical, kind, several``: each entity once, with the gender its mentions agree on.
+
+    ``several`` says that not all mentions are of that kind. Contradicting genders leave it open.
+    """
+    gender = F.when(F.col("kind").startswith("given:"), F.substring_index("kind", ":", -1))
+    name = F.when(gender.isNotNull(), F.expr("left(kind, length(kind) - 2)")).otherwise(F.col("kind"))
+    counted = found.groupBy(name.alias("identity"), "canonical").agg(
+        F.max(gender == "m").alias("m"), F.max(gender == "f").alias("f"), F.min("kind").alias("low"), F.max("kind").alias("high")
+    )
+    agreed = F.when(F.col("m") == F.col("f"), "n").when(F.col("m"), "m").otherwise("f")
+    kind = F.when(F.col("m").isNull(), F.col("identity")).otherwise(F.concat("identity", F.lit(":"), agreed))
+    return counted.select("identity", "canonical", kind.alias("kind"), (F.col("low") != F.col("high")).alias("several"))
+
+
+def replace_entities(docs: DataFrame, key: bytes, names: Mapping[str, str] | None = None) -> DataFrame:
     """``docs`` with ``text`` rewritten and ``entities`` (count) and ``kinds`` (array, in order) added.
 
-    Null texts stay null and have no entities. Other columns stay as they are; columns named
-    ``entities`` or ``kinds`` are replaced. An empty table gives no rows.
+    ``names`` are further given names with their gender (``m``, ``f`` or ``n``). Keys may have any length.
+    Null texts stay null and have no entities. Repeated rows are rewritten alike. Other columns stay as
+    they are; columns named ``entities`` or ``kinds`` are replaced. An empty table gives no rows.
     """
     spark = docs.sparkSession
     work = space(spark, "surrogates")
+    names = NAME_GENDER | dict(names or {})
     own = [c for c in docs.columns if c not in ("entities", "kinds")]
     rest = [c for c in own if c != "text"]
     keyed = docs.select(F.md5(text_or_empty()).cast("binary").alias("text_key"), text_or_empty().alias("text"))
-    found = work.write(found_in(keyed), "found")
-    entities = work.write(found.select("kind", "canonical").distinct(), "entities")
-    moved = work.write(redraws(entities, key, work), "redrawn")
+    found = work.write(found_in(keyed, names), "found")
+    known = work.write(resolved(found), "entities")
+    moved = redraws(known.select("kind", "canonical"), key, work)
+    # Entities that a text alone would not replace as the whole corpus does.
+    listed = work.write(
+        known.join(moved, ["kind", "canonical"], "left").filter("several OR draw IS NOT NULL")
+        .select("identity", "canonical", "kind", F.coalesce("draw", F.lit(0)).alias("draw")),
+        "listed",
+    )
     rows = docs.select(F.struct(*rest).alias("__row"), F.col("text").alias("__text"))
-    given = "map<string,int>"
-    if moved.count() <= BROADCAST_REDRAWN:
-        listed = {(r["kind"], r["canonical"]): r["draw"] for r in moved.collect()}
-        shared = spark.sparkContext.broadcast(listed)
+    given = "array<struct<identity:string,canonical:string,kind:string,draw:int>>"
+    if listed.count() <= BROADCAST_REDRAWN:
+        shared = spark.sparkContext.broadcast({(r["identity"], r["canonical"]): (r["kind"], r["draw"]) for r in listed.collect()})
         rows = rows.withColumn("__moved", F.lit(None).cast(given))
     else:
         shared = spark.sparkContext.broadcast({})
-        mine = found.join(moved, ["kind", "canonical"]).groupBy("text_key").agg(
-            F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "kind", "canonical"), "draw"))).alias("__moved")
+        name = F.when(F.col("kind").startswith("given:"), F.expr("left(kind, length(kind) - 2)")).otherwise(F.col("kind"))
+        mentioned = found.select("text_key", name.alias("identity"), "canonical")
+        mine = mentioned.join(listed, ["identity", "canonical"]).groupBy("text_key").agg(
+            F.collect_set(F.struct("identity", "canonical", "kind", "draw")).alias("__moved")
         )
         rows = rows.withColumn("text_key", F.md5(F.coalesce("__text", F.lit(""))).cast("binary")).join(mine, "text_key", "left")
 
@@ -354,8 +483,8 @@ def replace_entities(docs: DataFrame, key: bytes) -> DataFrame:
     def rewritten(texts: pd.Series, moves: pd.Series) -> pd.DataFrame:
         out = []
         for text, move in zip(texts, moves):
-            redrawn = {tuple(k.split("\x1f", 1)): d for k, d in dict(move).items()} if move is not None else shared.value
-            out.append((None, []) if text is None else rewrite(text, key, redrawn))
+            mine = shared.value if move is None else {(m["identity"], m["canonical"]): (m["kind"], m["draw"]) for m in move}
+            out.append((None, []) if text is None else rewrite(text, key, mine, names))
         return pd.DataFrame(out, columns=["text", "kinds"])
 
     done = rows.withColumn("__done", rewritten("__text", "__moved"))
