@@ -3,7 +3,7 @@
 Sources share the corpus by weight. A source's target stops at a multiple of its size, and
 what it cannot take is shared again by weight among the others. A source's repetition rate
 is target / size; each of its documents is emitted floor(rate) times, and once more if a
-hash of its identifier falls below the fraction.
+hash of its identifier and text falls below the fraction.
 """
 
 from __future__ import annotations
@@ -54,8 +54,8 @@ def source_targets(sizes: DataFrame, most: float = MOST_REPEATS, cycle: int = CY
 
 
 def draw(seed: str = SEED) -> Column:
-    """A number in [0, 1) from the seed and ``doc_id``; the same on every run and engine."""
-    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    """A number in [0, 1) from the seed, ``doc_id`` and ``__digest``; the same on every run and engine."""
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.col("__digest")))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
@@ -63,8 +63,8 @@ def mixing_plan(docs: DataFrame, seed: str = SEED, most: float = MOST_REPEATS, c
     """``docs`` with ``size, source_size, target, rate, copies, taken``; those names are replaced.
 
     ``size`` counts words (null text: 0), ``taken`` is ``size * copies``. Null sources are one
-    source, the last. Rows with the same identifier share one draw; an empty table gives no
-    rows; a source without words has target and rate 0.
+    source, the last. Rows without identifier, or with the same one, draw by their texts; only
+    rows equal in both share a draw. An empty table gives no rows; a source without words has target and rate 0.
     """
     added = ["size", "source_size", "target", "rate", "copies", "taken"]
     own = [c for c in docs.columns if c not in added]
@@ -75,6 +75,7 @@ def mixing_plan(docs: DataFrame, seed: str = SEED, most: float = MOST_REPEATS, c
         key.alias("__key"),
         F.col("source").alias("__source"),
         F.regexp_count(text_or_empty(), F.lit(WORD)).cast("bigint").alias("size"),
+        F.md5(text_or_empty()).alias("__digest"),
     )
     sizes = rows.groupBy(F.col("__source").alias("source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     work = space(docs.sparkSession, "mixing_sizes")

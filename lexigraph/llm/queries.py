@@ -127,7 +127,7 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id IS NOT DISTINCT FROM min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
 FROM t WINDOW w AS (PARTITION BY norm)""",
     "op5_mixing": rf"""
-WITH docs AS (SELECT doc_id, source, {SIZE} AS size FROM documents),
+WITH docs AS (SELECT doc_id, source, {SIZE} AS size, md5(coalesce(text, '')) AS digest FROM documents),
 src AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
 weighed AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM src),
 summed AS (
@@ -146,7 +146,7 @@ targets AS (
 rated AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate FROM targets),
 drawn AS (
   SELECT d.doc_id, d.size, r.source_size, r.target, r.rate,
-         ('0x' || substr(md5('mix|' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u
+         ('0x' || substr(md5('mix|' || coalesce(d.doc_id::VARCHAR, '') || '|' || d.digest), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u
   FROM docs d JOIN rated r ON d.source IS NOT DISTINCT FROM r.source),
 counted AS (SELECT *, (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies FROM drawn)
 SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM counted""",

@@ -86,7 +86,8 @@ PASSWORD = re.compile(
 CARD = re.compile(r"(?<![\w+])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{5})(?!\w)")
 SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
 PHONE = re.compile(
-    r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\w)"
+    r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)"
+    r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\w)"
     r"|(?<![\w+])(?:\(\d{3,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)|(?<![\w+])\+\d{9,15}(?!\w)"
     r"|(?<![\w+.,/-])0[1-9](?:[ .-]\d{2}){4}(?![\w-])|(?<![\w+.,/-])(?:0\d{1,4}|\(0\d{1,4}\))[ /-]\d{5,8}(?![\w-])"
 )
@@ -208,10 +209,15 @@ def mentions(text: str, names: Mapping[str, str] = NAME_GENDER) -> list[tuple[in
                     continue
                 elif kind == "card" and luhn(plain[:-1]) != int(plain[-1]):
                     continue  # time stamps, counters, groups of years
-                elif kind == "phone" and not 9 <= len(plain) <= 15:
+                elif kind == "phone" and len(plain) < 9:
                     continue
                 elif kind == "phone" and m[0][0] == "+":
-                    found.append((*m.span(), f"phone+{country_code(plain)}", plain))
+                    whole = m[0]
+                    while len(plain) > 15:  # a number of its own follows
+                        whole = re.sub(r"[ .-]?\(?\d+\)?$", "", whole)
+                        plain = re.sub(r"\D", "", whole)
+                    if len(plain) >= 9:
+                        found.append((m.start(), m.start() + len(whole), f"phone+{country_code(plain)}", plain))
                     continue
                 found.append((*m.span(), kind, plain))
     if "::" in text or text.count(":") > 6:

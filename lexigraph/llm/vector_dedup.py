@@ -13,7 +13,9 @@ Two vectors at the threshold agree in a bit with probability 1 - angle / pi; ``k
 the logarithm of the number of vectors, so that buckets stay small, and ``L`` is chosen so
 that such a pair shares a key with probability ``RECALL`` (closer pairs more often). Buckets
 of many vectors are compared in blocks, each pair of blocks a group of its own; nothing is
-cut off. A pair that meets in several tables counts in the first.
+cut off. A pair that meets in several tables counts in the first. What is dealt to a bucket is
+the vector, in single precision where that is exact, and the bits of the tables before it; the
+code is the first of these bits.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ RECALL = 0.995
 EPSILON = 4.0
 SEED = 7
 #: Vectors of a bucket that are compared in one group.
-BLOCK = 2_048
+BLOCK = 4_096
 #: Rows of a block's comparison held at a time.
 ROWS = 256
 BROADCAST_BUCKETS = 500_000
@@ -66,35 +68,54 @@ class Rotations:
         return cls._made[key]
 
 
+def packed(vector: np.ndarray) -> bytes:
+    """The bytes of a vector behind a letter: ``f`` for floats, if they hold it exactly, or ``d``."""
+    short = vector.astype("<f4")
+    return b"f" + short.tobytes() if (short == vector).all() else b"d" + vector.astype("<f8").tobytes()
+
+
+def unpacked(raw: list[bytes]) -> np.ndarray:
+    """The vectors, all of one length, in double precision, one a row."""
+    return np.stack([np.frombuffer(r, "<f4" if r[:1] == b"f" else "<f8", offset=1) for r in raw]).astype("<f8")
+
+
+def table_keys(signs: np.ndarray, tables: int, bits: int) -> np.ndarray:
+    """The keys of the first ``tables`` tables from packed sign bits, one row a vector."""
+    powers = (1 << np.arange(bits)).astype(np.int32)
+    out = np.empty((len(signs), tables), np.int32)
+    for a in range(0, len(signs), ROWS):
+        wide = np.unpackbits(signs[a : a + ROWS], axis=1)[:, : tables * bits]
+        out[a : a + ROWS] = wide.reshape(len(wide), tables, bits).astype(np.int32) @ powers
+    return out
+
+
 def _code(bits: int, tables: int, seed: int):
-    """Keys of all tables, the first rotation's code and its correction factor."""
+    """Keys of all tables, the signs that they and the code are made of, and the code's correction factor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = 1 << np.arange(bits, dtype=np.int64)
         for rows in batches:
             ids, dims = rows.column("id"), rows.column("dim").to_numpy()
             raw = rows.column("vec").to_pylist()
             for dim in np.unique(dims):
                 mine = np.flatnonzero(dims == dim)
-                vectors = np.frombuffer(b"".join(raw[i] for i in mine), "<f8").reshape(-1, dim)
+                vectors = unpacked([raw[i] for i in mine])
                 turns = Rotations.of(int(dim), bits * tables, seed)
                 unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
                 turned = unit @ turns.all
-                signs = turned[:, : bits * tables] > 0
-                keys = signs.reshape(len(mine), tables, bits) @ powers
-                code = np.packbits(turned[:, :dim] > 0, axis=1)
+                signs = np.packbits(turned[:, : max(bits * tables, int(dim))] > 0, axis=1)
+                keys = table_keys(signs, tables, bits)
                 factor = np.abs(turned[:, :dim]).sum(axis=1) / np.sqrt(dim)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array(mine)),
                         pa.array(np.full(len(mine), dim), pa.int32()),
                         rows.column("vec").take(pa.array(mine)),
-                        pa.array([c.tobytes() for c in code], pa.binary()),
+                        pa.array([s.tobytes() for s in signs], pa.binary()),
                         pa.array(factor),
                         rows.column("mult").take(pa.array(mine)),
-                        pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel().astype(np.int32)), tables).cast(pa.list_(pa.int32())),
+                        pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), tables).cast(pa.list_(pa.int32())),
                     ],
-                    ["id", "dim", "vec", "code", "factor", "mult", "keys"],
+                    ["id", "dim", "vec", "signs", "factor", "mult", "keys"],
                 )
 
     return run
@@ -137,7 +158,7 @@ def linked(vectors: np.ndarray, codes: np.ndarray, factors: np.ndarray, threshol
             yield p[keep], q[keep]
 
 
-def _compare(threshold: float, seed: int):
+def _compare(threshold: float, seed: int, bits: int):
     """``a, b`` of a spanning forest of each group's links; ``a, n`` counts of links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,9 +167,9 @@ def _compare(threshold: float, seed: int):
             order = np.argsort(sides, kind="stable")
             rows, ids, sides = rows.take(pa.array(order)), ids[order], sides[order]
             dim = rows.column("dim")[0].as_py()
-            load = lambda c, kind: np.frombuffer(b"".join(rows.column(c).to_pylist()), kind).reshape(len(ids), -1)
-            vectors, codes = load("vec", "<f8"), load("code", np.uint8)
-            keys = rows.column("keys").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)[:, :table]
+            vectors = unpacked(rows.column("vec").to_pylist())
+            codes = np.frombuffer(b"".join(rows.column("signs").to_pylist()), np.uint8).reshape(len(ids), -1)
+            keys = table_keys(codes, table, bits) if table else None
             mult, factors = rows.column("mult").to_numpy(), rows.column("factor").to_numpy()
             split = int((sides == 0).sum()) if split else 0
             if split == len(ids):
@@ -225,7 +246,7 @@ def near_duplicates(
 
     def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            vec = [None if v is None else scaled(np.asarray(v, "<f8")).tobytes() for v in rows.column("v").to_pylist()]
+            vec = [None if v is None else packed(scaled(np.asarray(v, "<f8"))) for v in rows.column("v").to_pylist()]
             yield pa.RecordBatch.from_arrays([rows.column("vec_id"), pa.array(vec, pa.binary())], ["vec_id", "vec"])
 
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.when(fine, values).alias("v"))
@@ -235,12 +256,16 @@ def near_duplicates(
     )
     n = nodes.count()
     bits, tables = plan_tables(n, threshold, recall)
-    sized = nodes.select("id", (F.octet_length("vec") / 8).cast("int").alias("dim"), "vec", "mult")
-    kinds = "id BIGINT, dim INT, vec BINARY, code BINARY, factor DOUBLE, mult BIGINT, keys ARRAY<INT>"
+    width = F.when(F.substring("vec", 1, 1) == F.lit(b"f"), 4).otherwise(8)
+    sized = nodes.select("id", ((F.octet_length("vec") - 1) / width).cast("int").alias("dim"), "vec", "mult")
+    kinds = "id BIGINT, dim INT, vec BINARY, signs BINARY, factor DOUBLE, mult BIGINT, keys ARRAY<INT>"
     coded = work.write(sized.mapInArrow(_code(bits, tables, seed), kinds), "coded")
     # The table in the upper half; vectors of another length get another bucket.
     bucket = F.shiftleft(F.col("table").cast("bigint"), 32) + F.pmod(F.xxhash64("dim", "key"), F.lit(1 << 32))
-    dealt = coded.select("*", F.posexplode("keys").alias("table", "key")).withColumn("bucket", bucket)
+    own = coded.select("id", "dim", "vec", "signs", "factor", "mult", F.posexplode("keys").alias("table", "key"))
+    # The code and the bits of the tables before this one.
+    needed = F.expr(f"substring(signs, 1, cast(ceil(greatest(table * {bits}, dim) / 8) as int))")
+    dealt = own.withColumn("bucket", bucket).withColumn("signs", needed)
     slim = coded.select("dim", F.posexplode("keys").alias("table", "key")).select(bucket.alias("bucket"))
     large = slim.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > block)
     large = work.write(large.select("bucket", F.ceil(F.col("n") / block).cast("int").alias("parts")), "large")
@@ -257,7 +282,7 @@ def near_duplicates(
         .drop("part", "other", "parts")
     )
     grouped = placed.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    found = work.write(grouped.mapInArrow(_compare(threshold, seed), "a BIGINT, b BIGINT, n BIGINT"), "compared")
+    found = work.write(grouped.mapInArrow(_compare(threshold, seed, bits), "a BIGINT, b BIGINT, n BIGINT"), "compared")
     counts = found.filter("n IS NOT NULL").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     roots = components(found.filter("n IS NULL").select("a", "b"), work).withColumnRenamed("node", "id")
     facts = (

@@ -36,7 +36,8 @@ def check(docs):
     target = fill(dict(sizes))
     for r in rows:
         rate = target[r.source] / sizes[r.source] if sizes[r.source] else 0
-        u = int(hashlib.md5(f"mix|{'' if r.doc_id is None else r.doc_id}".encode()).hexdigest()[:13], 16) / 2**52
+        digest = hashlib.md5((r.text or "").encode()).hexdigest()
+        u = int(hashlib.md5(f"mix|{'' if r.doc_id is None else r.doc_id}|{digest}".encode()).hexdigest()[:13], 16) / 2**52
         copies = floor(rate) + (u < rate - floor(rate))
         assert isclose(r.target, target[r.source], rel_tol=1e-9, abs_tol=1e-9)
         assert (r.source_size, r.copies, r.taken) == (sizes[r.source], copies, words(r.text) * copies)
@@ -68,6 +69,14 @@ def test_whole_table(documents):
     assert abs(total.t / total.w - 1) < 0.25
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_rows_without_or_with_the_same_identifier_draw_apart(spark, doc_id):
+    rows = [(doc_id, f"word{i} b c d", "a") for i in range(1500)] + [(i, "w " * 6, "b") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")
+    taken = {r.source: r for r in M.mixing_plan(docs).groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("w")).collect()}
+    assert abs(taken["a"].t / taken["a"].w - 1) < 0.06
+
+
 def test_many_sources_are_joined(documents, monkeypatch):
     want = sorted((r.doc_id, r.copies) for r in M.mixing_plan(documents).collect())
     monkeypatch.setattr(M, "BROADCAST_SOURCES", 0)

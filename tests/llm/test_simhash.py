@@ -117,3 +117,11 @@ def test_components_of_long_chains_and_stars(spark):
     nodes = {n for link in links for n in link} - {5}
     assert found == roots(nodes, [x for x in links if x[0] != x[1]])
     assert components(df.filter("false"), space(spark, "test")).collect() == []
+
+
+def test_hubs_are_divided(spark):
+    """Stars, a long chain and a second star joined to it; every key of more than 50 rows is hot."""
+    links = [(0, i) for i in range(1, 400)] + [(i, i + 1) for i in range(1000, 1300)] + [(5000, i) for i in range(6000, 6300)] + [(1300, 6299), (9, 8)]
+    df = spark.createDataFrame(links, "a BIGINT, b BIGINT")
+    want = roots({n for link in links for n in link}, links)
+    assert {r.node: r.root for r in components(df, space(spark, "test"), rows_per_task=50).collect()} == want

@@ -78,6 +78,7 @@ LABELLED = [
     ("ring +33 1 23 45 67 89 or +34 612 34 56 78", "+33 1 23 45 67 89|+34 612 34 56 78"),
     ("ring 030 1234567, (089) 1234567 or 01 23 45 67 89", "030 1234567|(089) 1234567|01 23 45 67 89"),
     ("from 2001:db8::ff00:42:8329 to fe80:0000:0000:0000:0202:b3ff:fe1e:8329", "2001:db8::ff00:42:8329|fe80:0000:0000:0000:0202:b3ff:fe1e:8329"),
+    ("ring +1 (017) 555-7713 980791 or +44 20 79 46 09 58 1234 5678 now", "+1 (017) 555-7713|+44 20 79 46 09 58"),
     ("card 4111111111111111", "4111111111111111"),
     ("stamp 1699999999999, id 4111111111111112, std::vector<int>, a::b, 12:30:45, 0.0301234567", ""),
     ("Anna and Peter, chapter 10 of 0110 1234, Mary had a lamb; DON NOT", ""),

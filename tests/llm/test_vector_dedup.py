@@ -90,6 +90,24 @@ def test_any_magnitude(spark):
     assert result(V.near_duplicates(df)) == want
 
 
+def test_vectors_are_packed_without_loss():
+    rng = np.random.default_rng(3)
+    single = rng.normal(size=(5, 9)).astype(np.float32).astype(float)
+    double = rng.normal(size=(5, 9))
+    small = np.full((1, 9), 5e-324)
+    raw = [V.packed(v) for v in (*single, *double, *small)]
+    assert [r[:1] for r in raw] == [b"f"] * 5 + [b"d"] * 6
+    assert (V.unpacked(raw) == np.vstack([single, double, small])).all()
+
+
+@pytest.mark.parametrize("tables,bits", [(0, 8), (1, 8), (7, 13), (40, 30)])
+def test_keys_come_from_a_prefix_of_the_signs(tables, bits):
+    signs = np.random.default_rng(4).integers(0, 2, (600, 40 * 30), dtype=np.uint8)
+    cut = np.packbits(signs, axis=1)[:, : -(-tables * bits // 8)]
+    want = [[sum(int(b) << k for k, b in enumerate(row[t * bits : (t + 1) * bits])) for t in range(tables)] for row in signs]
+    assert V.table_keys(cut, tables, bits).tolist() == want
+
+
 def test_scaling_is_exact():
     rng = np.random.default_rng(1)
     for size in (1e-200, 1e-30, 1.0, 3e100):
