@@ -99,3 +99,19 @@ def test_stages_after_near_dedup(spark, documents, folder):
         docs = work.write(stage(spark, docs, folder), name)
     rows = P.pieces(spark, docs, folder).collect()
     assert len(rows) == docs.count() and all(r.n_pieces == len(r.piece_ids) for r in rows)
+
+
+def test_simhash_links_are_candidates_and_checked(spark):
+    """Texts of one fingerprint or of near ones are found without MinHash keys; dissimilar ones are not linked."""
+    rng = np.random.default_rng(11)
+    words = [f"w{n}" for n in rng.integers(0, 1 << 40, 400)]
+    texts = [" ".join(words), " ".join(words[:-1] + ["x"]), " ".join(words) + " y", " ".join(words[::-1])]
+    fps = [simhash.fingerprint(t, J.SHINGLE) for t in texts]
+    assert all(((fp ^ fps[0]) & ((1 << 64) - 1)).bit_count() <= simhash.RADIUS // 2 for fp in fps[:3])
+    # The last text is not similar, whatever its fingerprint says.
+    rows = [(k, k, fp) for k, fp in enumerate([*fps[:3], fps[0]])]
+    nodes = spark.createDataFrame(rows, "node BIGINT, text_key BIGINT, fp BIGINT")
+    found = J.covered(nodes, spark.createDataFrame(list(enumerate(texts)), "text_key BIGINT, text STRING"), space(spark, "test"))
+    linked = {frozenset((r.a, r.b)) for r in found.collect()}
+    assert linked == {frozenset((0, 1)), frozenset((0, 2))} or linked == {frozenset((0, 1)), frozenset((1, 2))}
+    assert not any(3 in pair for pair in linked)
