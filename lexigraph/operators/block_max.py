@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scores import bm25_part
-from ..workspace import Workspace
+from ..workspace import COMPRESSION, Workspace
 from .index import Index
 from .ranking import top_k
 from .skew import ROWS_PER_TASK, hot_keys, spread_join
@@ -53,6 +53,8 @@ def block_postings(
     blocks = (
         index.all_postings()
         .withColumn("range", F.floor((F.col("doc_id") - F.lit(low or 0)) / width).cast("bigint"))
+        # The one shuffle: ranges of (term, range) keep each block whole, so that grouping needs no other.
+        .repartitionByRange(n_parts, "term", "range")
         .groupBy("term", "range")
         .agg(
             F.first("df").alias("df"),
@@ -61,10 +63,9 @@ def block_postings(
             F.count("*").alias("n"),
             F.sort_array(F.collect_list(F.struct("doc_id", "tf", "doc_len"))).alias("postings"),
         )
-        .repartitionByRange(n_parts, "term", "range")
         .sortWithinPartitions("term", "range")
     )
-    return replace(index, blocks=Blocks(workspace.write(blocks, f"{name}/blocks")))
+    return replace(index, blocks=Blocks(workspace.write(blocks, f"{name}/blocks", COMPRESSION)))
 
 
 def range_bounds(index: Index, queries, small: bool, avgdl: float, k1: float, b: float) -> DataFrame:

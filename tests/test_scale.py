@@ -7,7 +7,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexigraph import schemas
+from lexigraph.operators import index as ix
 from lexigraph.operators import links, search
+from lexigraph.operators.analyze import spread
+from lexigraph.operators.block_max import block_postings
 from lexigraph.operators.index import build_index, write_statistics
 from lexigraph.operators.ranking import min_max_normalize, rank_all, top_k
 from lexigraph.operators.search import TermTable
@@ -186,3 +189,64 @@ def test_an_iteration_reads_the_edges_once_and_unshuffled(spark, ws, monkeypatch
 def test_stored_schemas_parse(spark):
     for name in ("CORPUS", "QUERIES", "DOCUMENTS", "PAGES", "BENCHMARK", "EVENTS"):
         assert spark.createDataFrame([], getattr(schemas, name)).columns
+
+
+def rows_by_task(df):
+    return sorted(r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect())
+
+
+def one_row_group(spark, ws, n, words=30):
+    """A file of one row group and many splits."""
+    path = ws.fresh("row_group")
+    text = F.concat_ws(" ", *(F.sha2(F.concat_ws("-", F.col("id"), F.lit(k)), 256) for k in range(words)))
+    spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text")).coalesce(1).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_text_of_one_row_group_is_divided(spark, ws, monkeypatch):
+    """One task read a whole row group, however many splits the file had."""
+    splits = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(splits)
+    try:
+        spark.conf.set(splits, "100000")
+        docs = one_row_group(spark, ws, 2_000)
+        cores = spark.sparkContext.defaultParallelism
+        assert docs.rdd.getNumPartitions() > cores and rows_by_task(docs)[-1] == 2_000
+        divided = spread(docs)
+        assert rows_by_task(divided)[-1] <= 2_000 // cores + 10
+        assert divided.exceptAll(docs).isEmpty() and divided.count() == 2_000
+        monkeypatch.setattr("lexigraph.operators.analyze.DOCS_PER_TASK", 100)
+        assert rows_by_task(spread(docs))[-1] <= 100 + 20
+        # Already even: read as it is, and so is an empty table.
+        even = spark.read.parquet(ws.write(docs.repartition(4 * cores), "even").inputFiles()[0].rpartition("/")[0])
+        assert "Exchange" not in plan_of(spread(even)) and spread(docs.limit(0)).count() == 0
+    finally:
+        spark.conf.set(splits, before)
+
+
+def test_few_terms_do_not_shuffle_postings(spark, ws, monkeypatch):
+    flat = skewed(spark)
+    kept = ix.term_statistics(flat).filter("df > 5").select("term", "df")
+    few = ix.with_df(flat, kept, kept.count())
+    assert "BroadcastHashJoin" in plan_of(few) and "SortMergeJoin" not in plan_of(few)
+    monkeypatch.setattr(ix, "BROADCAST_TERMS", 0)
+    many = ix.with_df(flat, kept, kept.count(), rows_per_task=20).select(few.columns)
+    assert few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()
+
+
+def test_blocks_take_one_shuffle(spark, ws):
+    flat = skewed(spark).withColumn("doc_len", F.lit(1))
+    root = ws.fresh("blocks")
+    write_statistics(flat.select("doc_id", "doc_len"), root, "body")
+    index = build_index(flat, root, "x", "body", 0)
+    written = []
+
+    class Spy(Workspace):
+        def write(self, df, *names):
+            written.append(plan_of(df))
+            return super().write(df, *names)
+
+    blocks = block_postings(index, Spy(spark, "spy"), "x").blocks.rows
+    assert written[0].count("Exchange rangepartitioning") == written[0].count("Exchange") == 1
+    assert blocks.groupBy("term", "range").count().filter("count > 1").isEmpty()
+    assert blocks.select(F.sum("n")).first()[0] == 300
