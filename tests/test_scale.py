@@ -14,6 +14,7 @@ from lexigraph.operators.block_max import block_postings
 from lexigraph.operators.index import build_index, write_statistics
 from lexigraph.operators.ranking import min_max_normalize, rank_all, top_k
 from lexigraph.operators.search import TermTable
+from lexigraph.operators.segments import SegmentedIndex
 from lexigraph.operators.skew import hot_keys, spread_join
 from lexigraph.plans.catalog import QUERIES
 from lexigraph.workspace import Workspace
@@ -250,3 +251,13 @@ def test_blocks_take_one_shuffle(spark, ws):
     assert written[0].count("Exchange rangepartitioning") == written[0].count("Exchange") == 1
     assert blocks.groupBy("term", "range").count().filter("count > 1").isEmpty()
     assert blocks.select(F.sum("n")).first()[0] == 300
+
+
+def test_segments_are_cut_by_words(spark, ws):
+    """The parts of a segment grew with its rows: their number was fixed."""
+    flat = skewed(spark)
+    lengths = flat.select("doc_id", F.lit(1).alias("doc_len"))
+    index = SegmentedIndex(spark, ws.fresh("segments"), "body", rows_per_task=10).append(flat, lengths)
+    n_files = len(spark.read.parquet(f"{index.entries[0].path}/postings").inputFiles())
+    assert n_files > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert index.read().all_postings().select("term", "doc_id").exceptAll(flat.select("term", "doc_id")).isEmpty()
