@@ -261,3 +261,33 @@ def test_segments_are_cut_by_words(spark, ws):
     n_files = len(spark.read.parquet(f"{index.entries[0].path}/postings").inputFiles())
     assert n_files > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert index.read().all_postings().select("term", "doc_id").exceptAll(flat.select("term", "doc_id")).isEmpty()
+
+
+def test_postings_take_one_shuffle(spark, ws):
+    """Many terms were joined by a shuffle before the postings were put in order by another."""
+    flat = skewed(spark).withColumn("doc_len", F.lit(1))
+    for rows_per_task, hot in ((2_000_000, None), (20, [("hot", 5, 100)])):
+        found = ix.hot_terms(flat, rows_per_task)
+        assert (found and [tuple(r) for r in found.collect()]) == hot
+        postings = ix.counted_postings(flat, 8, rows_per_task)
+        plan = plan_of(postings)
+        assert plan.count("Exchange rangepartitioning") == 1 and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+        expected = flat.join(ix.term_statistics(flat), "term")
+        columns = ["term", "doc_id", "tf", "doc_len", "df"]
+        assert postings.select(columns).exceptAll(expected.select(columns)).isEmpty() and postings.count() == 300
+        sums = postings.groupBy("term").agg(F.sum("cf").alias("cf"))
+        assert sums.exceptAll(expected.select("term", "cf").distinct()).isEmpty()
+
+
+def test_index_below_the_threshold(spark, ws):
+    """Readers do not open the postings of terms below the threshold; statistics have them."""
+    flat = skewed(spark)
+    for name, rows, kept in (("some", flat, 1), ("none", flat.filter("term <> 'hot'"), 0), ("empty", flat.limit(0), 0)):
+        root = ws.fresh("threshold")
+        write_statistics(rows.select("doc_id", F.lit(1).alias("doc_len")), root, "body")
+        for rows_per_task in (2_000_000, 20):
+            index = build_index(rows, root, name, "body", min_df=50, rows_per_task=rows_per_task)
+            assert index.postings.columns == ["term", "doc_id", "tf", "df"]
+            assert index.postings.select("term").distinct().count() == kept == index.kept_terms().count()
+            stats = ix.term_statistics(rows)
+            assert index.term_stats.exceptAll(stats).isEmpty() and index.term_stats.count() == stats.count()

@@ -8,8 +8,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lexigraph.functions import stopwords, tokens
-from lexigraph.functions.stem import stem_array
-from lexigraph.operators.analyze import counts, merge_pieces
+from lexigraph.functions.stem import stem, stem_array
+from lexigraph.operators import analyze
+from lexigraph.operators.analyze import INDEX, QUERY, Profile, counts, forward_rows, merge_pieces
 from lexigraph.sources.pages import parse_pages
 
 PORTER = """
@@ -138,3 +139,48 @@ def test_links_in_any_markup(spark):
     row = parsed.first()
     assert (row["title"], row["text"]) == ("A & B", "first and sec ond no")
     assert [(a["href"], a["text"]) for a in row["anchors"]] == [("/one", "first"), ("/two", "sec ond")]
+
+
+WORDS = (PORTER + EXTENDED).replace("·", " ").split() + "sky's ées añadied x-rays yying ed ing eed sion ll ions 漢字s agreed-ed".split()
+
+
+def test_one_word_is_stemmed_as_in_an_array(spark):
+    df = spark.createDataFrame([(WORDS,)], "w ARRAY<STRING>")
+    for extended in (False, True):
+        got = df.select(F.expr(stem_array("w", True, extended))).first()[0]
+        assert got == [stem(w, extended) for w in WORDS]
+
+
+def test_forward_rows_match_the_expressions(spark, monkeypatch):
+    """Each distinct word of a slice is stemmed once, where arrays were stemmed word by word."""
+    met = []
+    monkeypatch.setattr(analyze, "stem", lambda w, x: met.append(w) or stem(w, x))
+    analyze._Words(__import__("pyarrow").array([["cats", "cats"], None, ["cats", "dogs"]]), INDEX)
+    assert sorted(met) == ["cats", "dogs"]
+    texts = ["Cats and dogs, cats and relational dogs became links", None, "", "references", "it's on", "a is by us ties a is", "cats " * 50]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING").withColumn("more", F.col("doc_id") * 2)
+    for profile in (INDEX, Profile(extended=True), Profile(min_chars=2, stop_words=(), index_stop_words=())):
+        got = {r["doc_id"]: r for r in forward_rows(docs, profile, QUERY).collect()}
+        plain, stems = profile.plain_words("text"), profile.words("text")
+        expected = docs.select(
+            "doc_id",
+            F.expr(f"size({stems})").alias("doc_len"),
+            F.expr(profile.indexed(stems)).alias("terms"),
+            F.expr(tokens.grams(stems)).alias("grams"),
+            F.expr(profile.indexed(plain)).alias("words"),
+            F.expr(f"array_distinct({tokens.grams(QUERY.words('text'))})").alias("query_grams"),
+        )
+        for r in expected.collect():
+            row = got[r["doc_id"]]
+            assert (row["more"], row["doc_len"]) == (2 * r["doc_id"], r["doc_len"])
+            for kind in ("terms", "grams", "words", "query_grams"):
+                assert {c["term"]: c["tf"] for c in row[kind]} == Counter(r[kind] or [])
+            assert row["n_title_grams"] == (None if r["query_grams"] is None else len(r["query_grams"]))
+
+
+def test_slices_are_cut_by_words(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(analyze, "WORDS_PER_SLICE", 5)
+    rows = pa.RecordBatch.from_arrays([pa.array([["a"] * n if n else None for n in (3, 2, 9, 0, 1)])], ["w"])
+    assert [[len(x or []) for x in p.column("w").to_pylist()] for p in analyze._slices(rows, "w")] == [[3, 2], [9], [0, 1]]
