@@ -18,6 +18,7 @@ from lexigraph.operators.segments import SegmentedIndex
 from lexigraph.operators.skew import hot_keys, spread_join
 from lexigraph.plans.catalog import QUERIES
 from lexigraph.workspace import Workspace
+from lexigraph.workspace import settings as session_settings
 
 FOLDER = "/root/testdata/sf0.001"
 FEW = settings(
@@ -291,3 +292,24 @@ def test_index_below_the_threshold(spark, ws):
             assert index.postings.select("term").distinct().count() == kept == index.kept_terms().count()
             stats = ix.term_statistics(rows)
             assert index.term_stats.exceptAll(stats).isEmpty() and index.term_stats.count() == stats.count()
+
+
+def test_lengths_meet_postings_before_queries(spark, ws):
+    """Lengths too many to broadcast were joined to every hit, which shuffled and sorted all of them."""
+    flat = skewed(spark).withColumn("doc_len", F.lit(1))
+    built = []
+    for name, rows in (("own", flat), ("other", flat.withColumn("doc_len", F.col("doc_id") + 7))):
+        root = ws.fresh(name)
+        write_statistics(rows.select("doc_id", "doc_len").distinct(), root, "body")
+        built.append(build_index(rows, root, name, "body", 0))
+    asked = flat.select("term").distinct().crossJoin(spark.range(3).withColumnRenamed("id", "query_id"))
+    queries = TermTable(ws.write(asked.withColumn("qtf", F.lit(1)), "asked"))
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        found = search.hits(built[0].with_stats_of(built[1]), queries)
+        expected = flat.drop("doc_len").join(asked, "term").withColumn("doc_len", F.col("doc_id") + 7)
+        columns = expected.columns
+        assert found.select(columns).exceptAll(expected).isEmpty() and found.count() == 900
+        scored = found.groupBy("query_id", "doc_id").agg(F.sum("doc_len"))
+        plan = plan_of(scored)
+        assert plan.index("SortMergeJoin [doc_id") > plan.index("BroadcastHashJoin [term")
+        assert "hashpartitioning(query_id" not in plan
