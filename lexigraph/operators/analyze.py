@@ -95,12 +95,12 @@ def spread(docs: DataFrame) -> DataFrame:
     Analysis is bound by CPU. Splits are ranges of bytes, but one of them reads a Parquet row group
     whole: a large file of few row groups has many splits, of which few have rows. So the rows of
     each split are counted, which reads footers only. Input that is evenly divided is analyzed
-    where it is read, unshuffled.
+    where it is read, unshuffled, unless its splits are so large that a task would grow with them.
     """
     cores = docs.sparkSession.sparkContext.defaultParallelism
     splits = docs.groupBy(F.spark_partition_id().alias("split")).agg(F.count("*").alias("n"))
     total, largest = splits.agg(F.sum("n"), F.max("n")).first()
-    if largest is None or largest * cores <= UNEVEN * total:
+    if largest is None or largest <= min(2 * DOCS_PER_TASK, UNEVEN * total / cores):
         return docs
     return docs.repartition(max(cores, -(-total // DOCS_PER_TASK)))
 

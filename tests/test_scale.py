@@ -313,3 +313,12 @@ def test_lengths_meet_postings_before_queries(spark, ws):
         plan = plan_of(scored)
         assert plan.index("SortMergeJoin [doc_id") > plan.index("BroadcastHashJoin [term")
         assert "hashpartitioning(query_id" not in plan
+
+
+def test_even_text_of_large_splits_is_divided(spark, ws, monkeypatch):
+    """Splits of even sizes were read whole, so that the longest task grew with them."""
+    docs = spark.range(2_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    assert rows_by_task(spread(docs))[-1] == -(-2_000 // spark.sparkContext.defaultParallelism)
+    monkeypatch.setattr("lexigraph.operators.analyze.DOCS_PER_TASK", 50)
+    divided = spread(docs)
+    assert rows_by_task(divided)[-1] <= 60 and divided.exceptAll(docs).isEmpty() and divided.count() == 2_000
