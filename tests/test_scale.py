@@ -322,3 +322,23 @@ def test_even_text_of_large_splits_is_divided(spark, ws, monkeypatch):
     monkeypatch.setattr("lexigraph.operators.analyze.DOCS_PER_TASK", 50)
     divided = spread(docs)
     assert rows_by_task(divided)[-1] <= 60 and divided.exceptAll(docs).isEmpty() and divided.count() == 2_000
+
+
+def test_postings_are_sorted_once(spark, ws):
+    """Two windows of different orders sorted and buffered each posting twice."""
+    plan = plan_of(ix.counted_postings(skewed(spark), 8))
+    assert plan.count("Sort [") == plan.count("+- Window [") == 1
+
+
+def test_only_wanted_kinds_are_counted(spark, ws):
+    """Pairs and unstemmed words were counted and stored for indexes of terms, too."""
+    from lexigraph.operators.build import IndexSet
+    from lexigraph.plans.catalog import tables
+
+    indexes = IndexSet(tables(spark, FOLDER).corpus, ws)
+    assert indexes.index("body").postings.columns == ["term", "doc_id", "tf", "df", "doc_len"]
+    assert indexes.forward("body", ("terms",)).columns == ["doc_id", "doc_len", "terms"]
+    every = indexes.forward("body")
+    assert every.columns == ["doc_id", "doc_len", "terms", "grams", "words"] and indexes.forward("body", ("grams",)) is every
+    assert indexes.flat("body").exceptAll(every.select("doc_id", "doc_len", F.inline("terms")).select("doc_id", "doc_len", "term", "tf")).isEmpty()
+    assert indexes.doc_stats("body").columns == ["doc_id", "doc_len"]
