@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Sequence
 from itertools import chain, repeat
 from typing import TypeVar
 
 import numpy as np
+import pyarrow as pa
 
 T = TypeVar("T")
 
@@ -17,11 +20,32 @@ _held: dict[tuple, object] = {}
 def held(key: tuple, make: Callable[[], T]) -> T:
     """The model of ``key``, made on first use; a worker process keeps one model at a time."""
     if key not in _held:
-        _held.clear()
+        forget()
         _held[key] = make()
+        # What only its making took.
+        _release()
     return _held[key]
 
 
+def forget() -> None:
+    """Drops the model of an earlier stage and gives a worker's free memory back to the system.
+
+    Workers outlive their stage, and what its batches and model took stays with the process otherwise.
+    """
+    _held.clear()
+    _release()
+
+
+def _release() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        # Only the GNU library has it.
+        pass
+
+
 class _Index(dict):
     def __init__(self, miss: Callable[[str], int]):
         self.miss = miss

@@ -26,3 +26,27 @@ def test_one_model_at_a_time():
     for key in ("a", "a", "b", "a"):
         held((key,), lambda: made.append(key) or key)
     assert made == ["a", "b", "a"]
+
+
+def test_a_model_is_dropped_before_another_is_made():
+    """The memory of an earlier stage's model stayed with the worker."""
+    from lexigraph.llm import memo
+
+    class Model:
+        alive = 0
+
+        def __init__(self):
+            Model.alive += 1
+            # Only the collector frees a cycle.
+            self.own = self
+
+        def __del__(self):
+            Model.alive -= 1
+
+    first = memo.held(("first",), Model)
+    assert memo.held(("first",), Model) is first and Model.alive == 1
+    del first
+    memo.held(("second",), lambda: Model.alive == 0 and Model())
+    assert Model.alive == 1
+    memo.forget()
+    assert Model.alive == 0
