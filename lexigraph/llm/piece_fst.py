@@ -40,6 +40,8 @@ UNIGRAM, PAIR_MERGE = 1, 2
 FALLBACK = 1e4
 #: Pairs of pieces whose stability is remembered.
 MOST_PAIRS = 200_000
+#: Texts encoded at a time: their parts and places are many times as large as the texts.
+SLICE = 64
 
 
 def fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -181,12 +183,13 @@ class Transducer:
         """
         parts, done = list(piece), []
         while len(parts) > 1:
-            found = [(-self.scores[i], k) for k in range(len(parts) - 1) if (i := self.ids.get(parts[k] + parts[k + 1])) is not None]
+            found = [(-self.scores[i], k, i) for k in range(len(parts) - 1) if (i := self.ids.get(parts[k] + parts[k + 1])) is not None]
             if not found:
                 return None
-            loss, k = min(found)
-            parts[k : k + 2] = [parts[k] + parts[k + 1]]
-            done.append((-loss, parts[0], parts[-1]))
+            _, k, i = min(found)
+            # Scores and texts of the model's own lists, which all merges share.
+            parts[k : k + 2] = [self.pieces[i]]
+            done.append((self.scores[i], parts[0], parts[-1]))
         return done
 
     def stable(self, left: int, right: int) -> bool:
@@ -309,7 +312,7 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = Transducer.of(model)
-        for rows in slices(batches):
+        for rows in slices(batches, SLICE):
             encoded = fst.encode_all([t or "" for t in rows.column(at).to_pylist()])
             yield pa.RecordBatch.from_arrays([*rows.columns, _lists(encoded)], names)
 
@@ -340,7 +343,7 @@ def round_trip(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = Transducer.of(model)
-        for rows in slices(batches):
+        for rows in slices(batches, SLICE):
             texts = [t or "" for t in rows.column("text").to_pylist()]
             encoded = fst.encode_all(texts)
             same = [fst.decode(x.tolist()) == fst.expected(t) for x, t in zip(encoded, texts)]

@@ -54,3 +54,16 @@ def test_hot_digest(spark):
     dedup = ExactDedup(spark)
     dedup.admit(docs)
     assert result(dedup.decide(docs, rows_per_task=100)) == brute(docs.collect())
+
+
+def test_no_state_store_stays_open(spark, documents):
+    """Stores stayed in the executor's memory until the next maintenance, one for each partition."""
+    module = spark._jvm.java.lang.Class.forName("org.apache.spark.sql.execution.streaming.state.StateStore$")
+    loaded = module.getDeclaredField("loadedProviders")
+    loaded.setAccessible(True)
+    stores = loaded.get(module.getField("MODULE$").get(None))
+    before = stores.size()
+    dedup = ExactDedup(spark)
+    dedup.admit(documents)
+    assert stores.size() <= before
+    assert result(dedup.decide(documents)) == brute(documents.collect())

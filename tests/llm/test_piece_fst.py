@@ -80,3 +80,13 @@ def test_unigram_takes_the_cheapest_path():
     assert [fst.pieces[i] for i in fst.encode("a?")] == ["▁a", "<unk>"]
     with pytest.raises(ValueError):
         P.Transducer(_model(P.UNIGRAM, pieces, squeeze=1))
+
+
+def test_merges_share_the_strings_of_the_model():
+    """Every merge held strings and a score of its own, in every worker."""
+    pieces = [("<unk>", 0.0, 2), ("a", -10.5, 1), ("b", -11.5, 1), ("ab", -1.5, 1), ("abab", -2.5, 1)]
+    fst = P.Transducer(_model(P.PAIR_MERGE, pieces))
+    merges = fst.made[fst.ids["abab"]]
+    assert [(s, a, b) for s, a, b in merges] == [(-1.5, "ab", "b"), (-1.5, "ab", "ab"), (-2.5, "abab", "abab")]
+    own = {id(x) for x in (*fst.pieces, *fst.scores)}
+    assert all(id(s) in own and id(a) in own for s, a, _ in merges)
