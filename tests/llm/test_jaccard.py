@@ -115,3 +115,30 @@ def test_simhash_links_are_candidates_and_checked(spark):
     linked = {frozenset((r.a, r.b)) for r in found.collect()}
     assert linked == {frozenset((0, 1)), frozenset((0, 2))} or linked == {frozenset((0, 1)), frozenset((1, 2))}
     assert not any(3 in pair for pair in linked)
+
+
+@pytest.mark.parametrize("fps", [(0, 0, 0), (0, 1, 2)])
+@pytest.mark.parametrize("block", [1, J.BLOCK])
+def test_every_pair_within_the_radius_is_checked(spark, fps, block):
+    """Two similar texts, linked to each other's fingerprints by way of a dissimilar text in the forest."""
+    rng = np.random.default_rng(13)
+    words = [f"w{n}" for n in rng.integers(0, 1 << 40, 100)]
+    texts = [" ".join(words[::-1]), " ".join(words), " ".join(words) + " y"]
+    nodes = spark.createDataFrame([(k, k, fp) for k, fp in enumerate(fps)], "node BIGINT, text_key BIGINT, fp BIGINT")
+    found = J.covered(nodes, spark.createDataFrame(list(enumerate(texts)), "text_key BIGINT, text STRING"), space(spark, "test"), block)
+    assert {frozenset((r.a, r.b)) for r in found.collect()} == {frozenset((1, 2))}
+
+
+def test_buckets_inside_a_known_component_are_left_alone(spark):
+    """Of three similar texts two are known to be linked; the third still joins them."""
+    words = [f"w{n}" for n in range(100)]
+    texts = [" ".join(words), " ".join(words) + " x", " ".join(words) + " y", "a b c d e f"]
+    rows = [(k, k, 0, J.bands(J.shingles(t)).tolist()) for k, t in enumerate(texts)]
+    nodes = spark.createDataFrame(rows, "node BIGINT, text_key BIGINT, fp BIGINT, bands ARRAY<BIGINT>")
+    texts = spark.createDataFrame(list(enumerate(texts)), "text_key BIGINT, text STRING")
+
+    def ends(*known):
+        known = spark.createDataFrame(known, "node BIGINT, root BIGINT")
+        return {x for r in J.links(nodes, texts, space(spark, "test"), known=known).collect() for x in (r.a, r.b)}
+
+    assert 2 in ends((0, 0), (1, 0)) and ends((0, 0), (1, 0), (2, 0)) == set()
