@@ -342,3 +342,60 @@ def test_only_wanted_kinds_are_counted(spark, ws):
     assert every.columns == ["doc_id", "doc_len", "terms", "grams", "words"] and indexes.forward("body", ("grams",)) is every
     assert indexes.flat("body").exceptAll(every.select("doc_id", "doc_len", F.inline("terms")).select("doc_id", "doc_len", "term", "tf")).isEmpty()
     assert indexes.doc_stats("body").columns == ["doc_id", "doc_len"]
+
+
+def test_one_row_is_stored_of_a_term_below_the_threshold(spark, ws):
+    """All postings of such terms were written, though only their statistics are read."""
+    flat = skewed(spark).withColumn("doc_len", F.lit(1))
+    root = ws.fresh("below")
+    write_statistics(flat.select("doc_id", "doc_len"), root, "body")
+    index = build_index(flat, root, "x", "body", min_df=50)
+    stored = spark.read.parquet(ix.table_path(root, "postings", "x"))
+    below = stored.filter("kept = 0")
+    assert below.count() == index.term_stats.filter("df <= 50").count() == 40
+    assert below.filter("doc_id IS NOT NULL OR tf IS NOT NULL OR doc_len IS NOT NULL").isEmpty()
+    assert index.term_stats.exceptAll(ix.term_statistics(flat)).isEmpty()
+    assert index.postings.exceptAll(flat.filter("term = 'hot'").select("term", "doc_id", "tf", F.lit(100).cast("bigint"), "doc_len")).isEmpty()
+
+
+def test_known_sizes_spare_passes_over_postings(spark, ws, monkeypatch):
+    """Postings were counted, and searched for frequent terms, by passes of their own."""
+    from lexigraph.operators.build import IndexSet
+    from lexigraph.plans.catalog import tables
+
+    indexes = IndexSet(tables(spark, FOLDER).corpus, ws)
+    for name in ("body", "title_query_grams"):
+        assert indexes._sizes(name) == (indexes.flat(name).count(), 200)
+    flat = skewed(spark)
+    monkeypatch.setattr(ix, "hot_terms", lambda *a: pytest.fail("there can be none"))
+    few = ix.counted_postings(flat, 8, 300, most=300)
+    expected = flat.join(ix.term_statistics(flat), "term").select("term", "doc_id", "df")
+    assert few.select(expected.columns).exceptAll(expected).isEmpty() and few.count() == 300
+
+
+def test_hits_are_summed_where_documents_meet(spark, ws):
+    """Every hit was shuffled, though each posting is hit by many queries."""
+    flat = skewed(spark).withColumn("doc_len", F.lit(1))
+    root = ws.fresh("summed")
+    write_statistics(flat.select("doc_id", "doc_len"), root, "body")
+    index = build_index(flat, root, "x", "body", 0)
+    for n_queries, dealt in ((1, False), (3, True)):
+        asked = flat.select("term").distinct().crossJoin(spark.range(n_queries).withColumnRenamed("id", "query_id"))
+        queries = TermTable(ws.write(asked.withColumn("qtf", F.lit(1)), "asked"))
+        found = search.hits(index, queries, by_document=True)
+        scored = found.groupBy("query_id", "doc_id").agg(F.sum("tf"))
+        plan = plan_of(scored)
+        assert ("hashpartitioning(query_id" in plan) != dealt and ("hashpartitioning(doc_id" in plan) == dealt
+        expected = flat.join(asked, "term").select("term", "doc_id", "query_id")
+        assert found.select(expected.columns).exceptAll(expected).isEmpty() and found.count() == 300 * n_queries
+
+
+def test_words_of_other_ends_are_their_stems():
+    import re
+
+    from lexigraph.functions.stem import STEMMED_END, stem
+
+    stems = ["nation", "relat", "hopp", "conting", "sky", "agre", "digit", "abli"]
+    words = [s + e for s in stems for e in "abcdefghijklmnopqrstuvwxyz09_éß"]
+    kept = [w for w in words if not re.search(STEMMED_END, w)]
+    assert len(kept) > 100 and all(stem(w, extended) == w for w in kept for extended in (False, True))

@@ -138,6 +138,10 @@ def test_only_the_files_of_wanted_terms_are_read(spark, ws):
     assert sorted(map(tuple, found.select("term", "doc_id").collect())) == sorted(
         map(tuple, flat.filter(F.col("term").isin(wanted)).select("term", "doc_id").collect())
     )
+    # Terms for every file: the files' ends were read for nothing.
+    many = TermTable(ws.write(flat.select(F.lit(1).alias("query_id"), "term").distinct(), "every_term"))
+    fresh = ix.read_index(spark, root, "body")
+    assert search.hits(fresh, many).count() == flat.count() and "directory" not in vars(fresh)
     none = TermTable(spark.createDataFrame([(1, f"x{i}") for i in range(20)], "query_id BIGINT, term STRING"))
     assert search.hits(index, none).count() == 0
 
